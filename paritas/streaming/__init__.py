@@ -1,0 +1 @@
+"""Reserved: reconciliation is a batch job, there is no streaming operator to offer."""
