@@ -49,8 +49,27 @@ def partition_unit(name: str) -> str:
 # ---------------------------------------------------------------- parsing
 
 
-def _ordered(y: Column, m: Column, d: Column) -> Column:
-    return F.concat_ws("-", y, m, d).try_cast("date")
+# Rewrites to ISO order, tried from the top; each leaves text of another shape alone.
+_YEAR_FIRST = (r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})$", "$1-$2-$3")
+_COMPACT = (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+_MONTH_FIRST = (r"^(0?[1-9]|1[0-2])[-/.](\d{1,2})[-/.](\d{4})$", "$3-$1-$2")
+_DAY_FIRST = (r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})$", "$3-$2-$1")
+_NAMED_MONTH_DAY = (r"^([A-Za-z]{3})[A-Za-z]{0,6}\.? (\d{1,2}),? (\d{4})$", "$3-$1-$2")
+_NAMED_DAY_MONTH = (r"^(\d{1,2})[ -]([A-Za-z]{3})[A-Za-z]{0,6}[ -](\d{4})$", "$3-$2-$1")
+
+_ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}$"
+_CLOCK = r"([01]?\d|2[0-3]):[0-5]?\d(:[0-5]?\d(\.\d+)?)?"
+
+
+def _rewritten(s: Column, *rules: tuple[str, str]) -> Column:
+    for pattern, order in rules:
+        s = F.regexp_replace(s, pattern, order)
+    return s
+
+
+def _iso_date(s: Column) -> Column:
+    """DATE of text in ISO order, NULL for any other text (a bare year is no date)."""
+    return F.when(s.rlike(_ISO_SHAPE), s.try_cast("date"))
 
 
 def parse_any(c: Column) -> Column:
@@ -59,26 +78,17 @@ def parse_any(c: Column) -> Column:
     Year-first and compact forms, day/month forms read month first unless the first
     number cannot be a month, and English month names; a time of day is ignored.
     """
-    s = F.regexp_replace(F.trim(c.cast("string")), r"[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$", "")
-    part = lambda pattern, i: F.regexp_extract(s, pattern, i)
-    year_first = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})$"
-    year_last = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})$"
-    month_day = r"^([A-Za-z]{3,9})\.? (\d{1,2}),? (\d{4})$"
-    day_month = r"^(\d{1,2})[ -]([A-Za-z]{3,9})[ -](\d{4})$"
-
-    def month_number(name: Column) -> Column:
-        spot = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.substring(name, 1, 3)))
-        return spot.cast("string")
-
-    a, b = part(year_last, 1), part(year_last, 2)
-    month_first = a.try_cast("int") <= 12
+    plain = F.trim(c.cast("string"))
+    s = F.regexp_replace(plain, r"[T ]" + _CLOCK + r"Z?$", "")
+    named = _rewritten(s, _NAMED_MONTH_DAY, _NAMED_DAY_MONTH)
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.substring(named, 6, 3)))
+    numbered = F.concat_ws("-", F.substring(named, 1, 4), month.cast("string"), F.regexp_extract(named, r"(\d+)$", 1))
+    # the forms tables are full of are settled by the first branches
     return (
-        F.when(s.rlike(year_first), _ordered(part(year_first, 1), part(year_first, 2), part(year_first, 3)))
-        .when(s.rlike(r"^\d{8}$"), compact_to_date(s))
-        .when(s.rlike(year_last) & month_first, _ordered(part(year_last, 3), a, b))
-        .when(s.rlike(year_last), _ordered(part(year_last, 3), b, a))
-        .when(s.rlike(month_day), _ordered(part(month_day, 3), month_number(part(month_day, 1)), part(month_day, 2)))
-        .when(s.rlike(day_month), _ordered(part(day_month, 3), month_number(part(day_month, 2)), part(day_month, 1)))
+        F.when(plain.rlike(_ISO_SHAPE), plain.try_cast("date"))
+        .when(plain.rlike(_COMPACT[0]), compact_to_date(plain))
+        .when(s.rlike(r"[A-Za-z]"), _iso_date(numbered))
+        .otherwise(_iso_date(_rewritten(s, _YEAR_FIRST, _MONTH_FIRST, _DAY_FIRST)))
     )
 
 
@@ -97,15 +107,9 @@ def parse_strict(c: Column) -> Column:
     Unlike :func:`parse_any` a day/month pair is always read day first, which is what
     the statistics comparers expect of a rendered minimum or maximum.
     """
-    s = F.trim(c.cast("string"))
-    head = F.regexp_replace(s, r"^(\d{4}[-/]\d{1,2}[-/]\d{1,2}) \d{1,2}:\d{1,2}:\d{1,2}$", "$1")
-    return (
-        F.when(head.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), head.try_cast("date"))
-        .when(head.rlike(r"^\d{4}/\d{1,2}/\d{1,2}$"), F.translate(head, "/", "-").try_cast("date"))
-        .when(head.rlike(r"^\d{1,2}([-/])\d{1,2}\1\d{4}$"),
-              F.regexp_replace(head, r"^(\d+)[-/](\d+)[-/](\d+)$", "$3-$2-$1").try_cast("date"))
-        .when(head.rlike(r"^\d{8}$"), compact_to_date(head))
-    )
+    year_first = (r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})( " + _CLOCK + r")?$", "$1-$3-$4")
+    day_first = (r"^(\d{1,2})([-/])(\d{1,2})\2(\d{4})$", "$4-$3-$1")
+    return _iso_date(_rewritten(F.trim(c.cast("string")), year_first, day_first, _COMPACT))
 
 
 def contains_datelike(c: Column) -> Column:

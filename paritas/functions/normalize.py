@@ -16,10 +16,14 @@ CONTROL_CHARS = r"[\x00-\x1F\x7F]"
 
 
 def norm_text(c: Column) -> Column:
-    """Upper case, trimmed, without control characters, runs of spaces collapsed."""
-    clean = F.regexp_replace(F.upper(F.trim(c.cast("string"))), CONTROL_CHARS, "")
-    # the expensive collapse runs only for values that hold a run of white space
-    return F.when(clean.rlike(r"\s{2,}|[^\S ]"), F.regexp_replace(clean, r"\s+", " ")).otherwise(clean)
+    """Upper case, trimmed, without control characters, runs of spaces collapsed.
+
+    One look decides whether a value needs cleaning at all; most do not, and skip both
+    rewrites. Once control characters are gone the only white space left is the space.
+    """
+    base = F.upper(F.trim(c.cast("string")))
+    cleaned = F.regexp_replace(F.regexp_replace(base, CONTROL_CHARS, ""), r"\s+", " ")
+    return F.when(base.rlike(CONTROL_CHARS + r"|\s\s"), cleaned).otherwise(base)
 
 
 def pseudo_null(c: Column) -> Column:
@@ -44,8 +48,12 @@ def norm_number(c: Column, dtype: T.DataType, decimals: int = DECIMALS) -> Colum
         parsed = norm_number(value, T.DoubleType(), decimals)
         return F.when(value.isNotNull() | as_text.isNull(), parsed).otherwise(as_text)
     else:
-        wide = c if isinstance(dtype, T.DecimalType) else F.round(c, decimals)
-        fixed = F.coalesce(wide.try_cast(f"decimal(38,{decimals})").cast("string"), c.cast("string"))
+        # 18 digits fit a machine word and cover all but outliers; both casts round half up
+        fixed = F.coalesce(
+            c.try_cast(f"decimal(18,{decimals})").cast("string"),
+            c.try_cast(f"decimal(38,{decimals})").cast("string"),
+            c.cast("string"),
+        )
     return F.when(c.isNull() | (c == 0), F.lit("0")).otherwise(fixed)
 
 

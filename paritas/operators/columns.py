@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import normalize
-from ..functions.types import DATE, NUMBER, common_family
+from ..functions.dates import ISO_TIME
+from ..functions.types import NUMBER, TIMESTAMP, common_family
 
 LEFT, RIGHT = "left", "right"
 
@@ -33,13 +34,21 @@ class ColumnPair:
     def source(self, side: str) -> tuple[str, str | None]:
         return (self.left, self.left_fmt) if side == LEFT else (self.right, self.right_fmt)
 
+    @property
+    def whole_seconds(self) -> bool:
+        """A timestamp whose partner is text without fractions is compared by the second."""
+        return self.family == TIMESTAMP and ISO_TIME in (self.left_fmt, self.right_fmt)
+
     def value(self, df: DataFrame, side: str) -> Column:
         """Raw value in the pair's common type."""
         column, fmt = self.source(side)
-        return normalize.typed_value(df[column], df.schema[column].dataType, self.family, fmt)
+        value = normalize.typed_value(df[column], df.schema[column].dataType, self.family, fmt)
+        return F.date_trunc("second", value).cast("timestamp_ntz") if self.whole_seconds else value
 
     def normal(self, df: DataFrame, side: str, decimals: int = normalize.DECIMALS) -> Column:
         """Normalised text of the value."""
+        if self.whole_seconds:
+            return normalize.norm_timestamp(self.value(df, side))
         column, fmt = self.source(side)
         return normalize.norm_by_type(df[column], df.schema[column].dataType, self.family, fmt, decimals)
 
@@ -55,7 +64,10 @@ class ColumnPair:
 def pair_columns(left: DataFrame, right: DataFrame, mapping: dict[str, str],
                  left_fmt: dict[str, str] | None = None,
                  right_fmt: dict[str, str] | None = None) -> list[ColumnPair]:
-    """Column pairs of a left→right mapping, typed from both schemas."""
+    """Column pairs of a left→right mapping, typed from both schemas.
+
+    Formats are keyed by the column name of their own side.
+    """
     left_fmt, right_fmt = left_fmt or {}, right_fmt or {}
     return [
         ColumnPair(l, r, common_family(left.schema[l].dataType, right.schema[r].dataType),
@@ -67,6 +79,3 @@ def pair_columns(left: DataFrame, right: DataFrame, mapping: dict[str, str],
 def same_columns(df: DataFrame, columns: list[str]) -> list[ColumnPair]:
     """Pairs of a table with itself, for one-sided operators."""
     return pair_columns(df, df, {c: c for c in columns})
-
-
-__all__ = ["LEFT", "RIGHT", "DATE", "ColumnPair", "pair_columns", "same_columns"]

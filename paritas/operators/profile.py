@@ -134,10 +134,27 @@ def categorical_stats(freq: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def _merged(parts: list[DataFrame], by: list[str], kind: str) -> DataFrame:
+    """Partial results of the same columns as one row each.
+
+    Every statistic comes from exactly one part, so stacking and one aggregation of a few
+    rows replaces joins between the parts.
+    """
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    have = [s for s in STATS if s in stacked.columns]
+    out = stacked.groupBy(*by, "column").agg(*[F.first(s, ignorenulls=True).alias(s) for s in have])
+    zero = F.lit(0).cast("bigint")
+    out = out.withColumns({s: F.coalesce(s, zero) for s in ("distinct", "missing")})
+    if "freq" not in have:
+        out = out.withColumn("freq", F.lit(None).cast(FREQ_TYPE))
+    return out.withColumn("kind", F.lit(kind)).select(*by, "column", "kind", *STATS)
+
+
 def profile_categorical(categorical: DataFrame, by: list[str], top: int = TOP_VALUES) -> DataFrame:
     freq = value_frequencies(categorical, by)
-    stats = categorical_stats(freq, by).join(top_frequencies(freq, by, top), [*by, "column"])
-    return stats.withColumn("kind", F.lit("categorical")).select(*by, "column", "kind", *STATS)
+    return _merged([categorical_stats(freq, by), top_frequencies(freq, by, top)], by, "categorical")
 
 
 def profile_categorical_top(categorical: DataFrame, by: list[str], top: int = TOP_VALUES_WIDE) -> DataFrame:
@@ -146,40 +163,28 @@ def profile_categorical_top(categorical: DataFrame, by: list[str], top: int = TO
     head = rank_frequencies(freq, by, top)
     missing = freq.where("v_text IS NULL").select(*by, "column", F.col("n").alias("missing"))
     packed = top_frequencies(freq, by, top).withColumn("freq", F.array_sort("freq"))
-    stats = (
-        categorical_stats(head, by).drop("missing")
-        .join(missing, [*by, "column"], "left")
-        .join(packed, [*by, "column"])
-        .withColumn("missing", F.coalesce("missing", F.lit(0).cast("bigint")))
-    )
-    return stats.withColumn("kind", F.lit("categorical")).select(*by, "column", "kind", *STATS)
+    return _merged([categorical_stats(head, by).drop("missing"), missing, packed], by, "categorical")
 
 
 def profile_continuous(continuous: DataFrame, by: list[str]) -> DataFrame:
     number = F.coalesce(F.col("v_dbl"), F.col("v_long").cast("double"))
+    extreme = lambda f: F.coalesce(f("v_long").cast("string"), f("v_dbl").cast("string"))
     moments = continuous.groupBy(*by, "column").agg(
         F.count(number).alias("count"),
         (F.count(F.lit(1)) - F.count(number)).alias("missing"),
-        F.coalesce(F.min("v_long").cast("string"), F.min("v_dbl").cast("string")).alias("min"),
-        F.coalesce(F.max("v_long").cast("string"), F.max("v_dbl").cast("string")).alias("max"),
+        extreme(F.min).alias("min"),
+        extreme(F.max).alias("max"),
         F.avg(number).alias("avg"),
         F.stddev_samp(number).alias("std"),
         F.sum(number).alias("sum"),
         F.sum(number * number).alias("sum_sq"),
     )
-    lanes = ["v_long", "v_dbl", "v_text"]
     distinct = (
         continuous.where(number.isNotNull())
-        .groupBy(*by, "column", *lanes).agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*by, "column", "v_long", "v_dbl", "v_text").agg(F.count(F.lit(1)).alias("n"))
         .groupBy(*by, "column").agg(F.count(F.lit(1)).alias("distinct"))
     )
-    return (
-        moments.join(distinct, [*by, "column"], "left")
-        .withColumn("distinct", F.coalesce("distinct", F.lit(0).cast("bigint")))
-        .withColumn("kind", F.lit("continuous"))
-        .withColumn("freq", F.lit(None).cast(FREQ_TYPE))
-        .select(*by, "column", "kind", *STATS)
-    )
+    return _merged([moments, distinct], by, "continuous")
 
 
 def profile_long(values: LongForm, by: list[str], top: int = TOP_VALUES) -> DataFrame:

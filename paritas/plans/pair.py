@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import dates
 from ..operators import crosswalk as cw, daycounts, filters, profile, quality, reports, rowhash
 from ..operators.columns import LEFT, RIGHT, ColumnPair, pair_columns
-from ..sources import catalog
+from ..sources import catalog, scan
 from ..sources.results import keep
 
 ALL = "all"
@@ -29,6 +29,9 @@ class ReconPair:
     ``crosswalk`` has left_col, right_col, is_tokenized and optionally col_map and ord.
     Date columns may be dates, timestamps or text; the format of a text date is found by
     profiling the column unless it is given.
+
+    ``left_tasks`` / ``right_tasks`` spread a side that is stored in fewer splits than the
+    cluster has cores (``sources.scan.tasks_for``); leave them unset for large tables.
     """
 
     name: str
@@ -49,6 +52,8 @@ class ReconPair:
     normalised_profile: bool = False
     keys: list[str] | None = None
     hash_all: bool = False
+    left_tasks: int | None = None
+    right_tasks: int | None = None
     rules: dict = field(default_factory=lambda: dict(quality.STAT_RULES))
 
     def __post_init__(self) -> None:
@@ -93,11 +98,15 @@ class ReconPair:
 
     def scoped(self, side: str) -> DataFrame:
         """Rows that take part in the costly checks, labelled with their vintage."""
-        df = self.rows(side)
+        df = self._spread(side)
         if not self.dated:
             return df.withColumn("vintage", F.lit(ALL))
         return filters.in_scope(df, self.day(side), self.scope)
 
+    def _spread(self, side: str) -> DataFrame:
+        tasks = self.left_tasks if side == LEFT else self.right_tasks
+        return scan.spread(self.rows(side), tasks, [p.source(side)[0] for p in self.columns])
+
     # ------------------------------------------------------------ meta check
 
     @cached_property
@@ -106,11 +115,13 @@ class ReconPair:
         if self.col_map is not None and "col_map" in rows.columns:
             rows = rows.where(F.lower("col_map") == self.col_map.lower())
         rows = rows.withColumn("col_map", F.lit(self.name.lower()))
-        return rows if "ord" in rows.columns else rows.withColumn("ord", F.monotonically_increasing_id())
+        rows = rows if "ord" in rows.columns else rows.withColumn("ord", F.monotonically_increasing_id())
+        # one table's share of the crosswalk is schema-sized: one partition spares every exchange
+        return rows.coalesce(1)
 
     def _catalog(self, side: str) -> DataFrame:
         case = "upper" if side == LEFT else "lower"
-        return catalog.columns_of(self._table(side), self.name.lower(), case).withColumnRenamed("table_name", "col_map")
+        return catalog.columns_of(self._table(side), self.name.lower(), case).withColumnRenamed("table_name", "col_map").coalesce(1)
 
     def column_classes(self, side: str) -> DataFrame:
         return cw.classify(self._catalog(side), self._crosswalk, side)
@@ -129,12 +140,9 @@ class ReconPair:
         return pair_columns(
             self.left, self.right, ordered,
             {self.left_date: self.left_fmt} if self.left_fmt else {},
-            {self._left_of_right_date(ordered): self.right_fmt} if self.right_fmt else {},
+            {self.right_date: self.right_fmt} if self.right_fmt else {},
         )
 
-    def _left_of_right_date(self, mapping: dict[str, str]) -> str | None:
-        return next((l for l, r in mapping.items() if r == self.right_date), None)
-
     @cached_property
     def day_counts(self) -> DataFrame:
         """``(day, n_left, n_right)`` over the union of days; one row for undated pairs."""
@@ -231,7 +239,7 @@ class ReconPair:
     def labelled(self, side: str) -> DataFrame:
         """Every row with its vintage, equal counts or not."""
         label = dates.vintage_label(self.day(side), self.unit) if self.dated else F.lit(ALL)
-        return self.rows(side).withColumn("vintage", label)
+        return self._spread(side).withColumn("vintage", label)
 
     def compared_rows(self, scoped: bool = True) -> DataFrame:
         keys = [k.name for k in self._chosen[1]]

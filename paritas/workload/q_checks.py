@@ -8,6 +8,7 @@ from ..functions import compare, dates
 from ..functions.types import NUMBER
 from ..operators import profile, quality, reports, rowhash
 from ..operators.columns import same_columns
+from ..sources import scan
 from . import pairs
 from .registry import query
 from .shape import SHOWN_STATS_SQL, big, shown_stats, steady, steady_square, text
@@ -24,6 +25,7 @@ PARTS["c_olm"] = f"SELECT *, {month('order_dt')} AS vintage FROM c_ol"
 
 def _lines_by(spark, sf, unit):
     left = pairs.lineitem_left(spark, sf)
+    left = scan.spread(left, scan.tasks_for(pairs.table(spark, sf, "lineitem")), left.columns)
     return left.withColumn("vintage", dates.vintage_label(F.col("SHIP_DT").cast("date"), unit))
 
 

@@ -176,10 +176,12 @@ def daycount_inner(spark, sf):
     return daycounts.common_mismatches(*_day_counts(spark, sf)).select(*text("day"), "n_left", "n_right", "diff")
 
 
-@query("days_left_only", "SELECT CAST(d AS VARCHAR) AS day FROM c_dl WHERE d NOT IN (SELECT d FROM c_dr)")
+@query("days_left_only", """
+SELECT CAST(d AS VARCHAR) AS day FROM c_dl WHERE d NOT IN (SELECT order_dt FROM c_or WHERE price > 300000)""")
 def days_left_only(spark, sf):
-    left, right = _day_counts(spark, sf)
-    return daycounts.only_left(left, right).select(*text("day")).orderBy("day")
+    dear = pairs.orders_right(spark, sf).where("price > 300000")
+    right = daycounts.row_counts(dear, filters.day_column(dear, "order_dt", dates.COMPACT))
+    return daycounts.only_left(_day_counts(spark, sf)[0], right).select(*text("day")).orderBy("day")
 
 
 @query("days_right_only", """
@@ -227,10 +229,13 @@ def days_intersect(spark, sf):
 
 
 @query("days_except", """
-SELECT 'left' AS side, CAST(d AS VARCHAR) AS day FROM (SELECT d FROM c_dl EXCEPT SELECT d FROM c_dr)
-UNION ALL SELECT 'right', CAST(d AS VARCHAR) FROM (SELECT d FROM c_dr EXCEPT SELECT d FROM c_dl)""")
+SELECT 'left' AS side, CAST(order_dt AS VARCHAR) AS day FROM (SELECT order_dt FROM c_ol WHERE status = 'F' EXCEPT SELECT order_dt FROM c_or WHERE price > 300000)
+UNION ALL SELECT 'right', CAST(order_dt AS VARCHAR) FROM (SELECT order_dt FROM c_or WHERE price > 300000 EXCEPT SELECT order_dt FROM c_ol WHERE status = 'F')""")
 def days_except(spark, sf):
-    left, right = (c.select("day") for c in _day_counts(spark, sf))
+    done = pairs.orders_left(spark, sf).where("STATUS = 'F'")
+    dear = pairs.orders_right(spark, sf).where("price > 300000")
+    left = done.select(F.col("ORDER_DT").alias("day"))
+    right = dear.select(filters.day_column(dear, "order_dt", dates.COMPACT).alias("day"))
     one = lambda name, df: df.select(F.lit(name).alias("side"), *text("day"))
     return one("left", left.subtract(right)).unionByName(one("right", right.subtract(left)))
 

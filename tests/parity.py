@@ -44,6 +44,8 @@ def difference(spark, con, key: str, fn, twin: str | None, sf_dir: str) -> str |
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(names)}"
     mine, theirs = bag(df.columns, rows), bag(names, expected)
+    if not rows:
+        return "no rows: the comparison says nothing"
     if mine == theirs:
         return None
     extra, lacking = list((mine - theirs).items())[:2], list((theirs - mine).items())[:2]
