@@ -78,14 +78,15 @@ def observed_windows(days: DataFrame, unit: str) -> DataFrame:
         F.min("day").alias("start_date"), F.date_add(F.max("day"), 1).alias("end_date"))
 
 
-def days_in_windows(days: DataFrame, windows: DataFrame) -> DataFrame:
+def days_in_windows(days: DataFrame, windows: DataFrame, unit: str) -> DataFrame:
     """Assign days to the windows that contain them.
 
-    A range join between two calendar-bounded tables; the windows are broadcast.
+    A window holds only days of its own label, so the range condition rides on an
+    equi-join and never compares every day with every window.
     """
-    w = F.broadcast(windows)
-    inside = (F.col("day") >= F.col("start_date")) & (F.col("day") <= F.col("end_date"))
-    return days.join(w, inside, "inner")
+    labelled = days.withColumn("vintage", dates.vintage_label(F.col("day"), unit))
+    return labelled.join(windows, "vintage").where(
+        (F.col("day") >= F.col("start_date")) & (F.col("day") <= F.col("end_date")))
 
 
 def paired_windows(left: DataFrame, right: DataFrame, both: DataFrame, unit: str) -> DataFrame:

@@ -208,7 +208,7 @@ FROM c_both b JOIN c_wl w ON b.d BETWEEN w.start_date AND w.end_date GROUP BY 1"
 def days_in_vintage_range(spark, sf):
     left, right = _day_counts(spark, sf)
     days = daycounts.both_counts(left, right)
-    inside = daycounts.days_in_windows(days, dates.windows(daycounts.bounds(left), "month"))
+    inside = daycounts.days_in_windows(days, dates.windows(daycounts.bounds(left), "month"), "month")
     return inside.groupBy("vintage").agg(
         F.count(F.lit(1)).alias("n_days"), F.count_if(F.col("n_left") != F.col("n_right")).alias("excluded_days"))
 
