@@ -27,28 +27,19 @@ STATS = ["count", "distinct", "missing", "min", "max", "avg", "std", "sum", "sum
 FREQ_TYPE = "array<struct<value:string,n:bigint>>"
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def unpivot_lanes(df: DataFrame, by: list[str], lanes: dict[str, dict[str, Column]]) -> DataFrame:
     """Rows ``(by..., column, lane...)``, one per input row and profiled column.
 
     ``lanes`` maps a column name to its value per lane; all columns share the lanes, so
     each value keeps a native type instead of being turned into text.
     """
-    names = list(next(iter(lanes.values())))
-    flat = df.select(*by, *[
-        value.alias(f"c{i}_{lane}") for i, per in enumerate(lanes.values()) for lane, value in per.items()
+    # inline rather than UNPIVOT: its plan compares equal when two consumers share it, so the
+    # exchange behind the value frequencies is run once and reused
+    rows = F.array(*[
+        F.struct(F.lit(column).alias("column"), *[value.alias(lane) for lane, value in per.items()])
+        for column, per in lanes.items()
     ])
-    groups = ", ".join(
-        "(" + ", ".join(f"c{i}_{lane}" for lane in names) + ") AS " + _quoted(column)
-        for i, column in enumerate(lanes)
-    )
-    return df.sparkSession.sql(
-        f"SELECT * FROM {{flat}} UNPIVOT INCLUDE NULLS (({', '.join(names)}) FOR column IN ({groups}))",
-        flat=flat,
-    )
+    return df.select(*by, F.inline(rows))
 
 
 def continuous_lanes(value: Column, dtype: T.DataType) -> dict[str, Column]:

@@ -146,13 +146,12 @@ def hash_counts(hashes: DataFrame, by: list[str]) -> DataFrame:
 
 def sample_mismatches(compared: DataFrame, keys: list[str], by: list[str], n: int = SAMPLE_ROWS) -> DataFrame:
     """The first ``n`` differing keys of each group, in key order, with both hashes."""
-    order = Window.partitionBy(*by).orderBy(*keys) if by else Window.orderBy(*keys)
-    return (
-        compared.where(F.col("hash_mismatch") > 0)
-        .withColumn("rn", F.row_number().over(order))
-        .where(F.col("rn") <= n)
-        .select(*by, *keys, "left_hash", "right_hash")
-    )
+    differing, shown = compared.where(F.col("hash_mismatch") > 0), [*by, *keys, "left_hash", "right_hash"]
+    if not by:
+        # a plain top-n: every task keeps n rows and only those are merged
+        return differing.orderBy(*keys).limit(n).select(*shown)
+    order = Window.partitionBy(*by).orderBy(*keys)
+    return differing.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= n).select(*shown)
 
 
 # ---------------------------------------------------------------- fingerprints
