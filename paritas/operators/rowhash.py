@@ -98,8 +98,12 @@ def compare_multisets(left: DataFrame, right: DataFrame, by: list[str]) -> DataF
     )
 
 
-def compare_counts(compared: DataFrame, by: list[str]) -> DataFrame:
-    """Rows per outcome and group."""
+def compare_counts(compared: DataFrame, by: list[str], duplicates: bool = False) -> DataFrame:
+    """Rows per outcome and group; ``duplicates`` adds the keys held by several rows of a side.
+
+    The compared table has one row per key, so both come from the same aggregation.
+    """
+    extra = [F.count_if(F.col(f"n_{s}") > 1).alias(f"{s}_dup_keys") for s in (LEFT, RIGHT)] if duplicates else []
     only = lambda mine, other: F.sum(F.when(F.col(other) == 0, F.col(mine)).otherwise(0))
     return compared.groupBy(*by).agg(
         F.sum("n_left").alias("left_rows"),
@@ -108,6 +112,7 @@ def compare_counts(compared: DataFrame, by: list[str]) -> DataFrame:
         only("n_left", "n_right").alias("left_only"),
         only("n_right", "n_left").alias("right_only"),
         F.sum("hash_mismatch").alias("hash_mismatch"),
+        *extra,
     )
 
 

@@ -220,20 +220,26 @@ def _line_hashes(spark, sf):
 
 
 @query("dup_key_fanout", """
-SELECT j.vintage, l.n AS left_rows, r.n AS right_rows, l.dup_keys AS left_dup_keys, r.dup_keys AS right_dup_keys,
-  matched, left_only, right_only, hash_mismatch
+SELECT j.vintage, coalesce(l.n, 0) AS left_rows, coalesce(r.n, 0) AS right_rows, coalesce(l.dup_keys, 0) AS left_dup_keys,
+  coalesce(r.dup_keys, 0) AS right_dup_keys, matched, left_only, right_only, hash_mismatch
 FROM (SELECT vintage, count(*) FILTER (WHERE lh = rh) AS matched, count(*) FILTER (WHERE rh IS NULL) AS left_only,
         count(*) FILTER (WHERE lh IS NULL) AS right_only, count(*) FILTER (WHERE lh <> rh) AS hash_mismatch FROM c_lj GROUP BY 1) j
 LEFT JOIN c_dupl l USING (vintage) LEFT JOIN c_dupr r USING (vintage)""")
 def dup_key_fanout(spark, sf):
     _, left, right = _line_hashes(spark, sf)
-    keys = ["ORDER_ID", "LINE_NO"]
-    counts = rowhash.compare_counts(rowhash.compare_keys(left, right, keys, ["vintage"]), ["vintage"])
-    dups = rowhash.duplicate_keys(left, right, keys, ["vintage"])
-    per_side = dups.groupBy("vintage").agg(
-        F.max(F.when(F.col("side") == "left", F.col("dup_keys"))).alias("left_dup_keys"),
-        F.max(F.when(F.col("side") == "right", F.col("dup_keys"))).alias("right_dup_keys"))
-    return counts.join(per_side, "vintage", "left").select("vintage", *big(*_COUNTS), "left_dup_keys", "right_dup_keys")
+    compared = rowhash.compare_keys(left, right, ["ORDER_ID", "LINE_NO"], ["vintage"])
+    return rowhash.compare_counts(compared, ["vintage"], duplicates=True).select(
+        "vintage", *big(*_COUNTS), "left_dup_keys", "right_dup_keys")
+
+
+@query("duplicate_keys", """
+SELECT side, vintage, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, count(*) FILTER (WHERE n > 1) AS dup_keys,
+  CAST(sum(n - 1) AS BIGINT) AS surplus_rows
+FROM (SELECT 'left' AS side, vintage, order_id, line_no, count(*) AS n FROM c_llh GROUP BY ALL
+      UNION ALL SELECT 'right', vintage, order_id, line_no, count(*) FROM c_lrh GROUP BY ALL) GROUP BY 1, 2""")
+def duplicate_keys(spark, sf):
+    _, left, right = _line_hashes(spark, sf)
+    return rowhash.duplicate_keys(left, right, ["ORDER_ID", "LINE_NO"], ["vintage"])
 
 
 @query("row_id_fallback", """
