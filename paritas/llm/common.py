@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLANKS = "\t\n\x0b\x0c\r "
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BLANK_RUN = r"[\x20\x09-\x0D]+"
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -27,12 +27,15 @@ def text_of(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def words_of(text: Column, lower: bool = False) -> Column:
-    """Words in order; with ``lower``, A-Z become a-z (no other letter changes)."""
-    source, target = BLANKS[:-1], " " * (len(BLANKS) - 1)
-    if lower:
-        source, target = source + UPPER, target + LOWER
-    return F.filter(F.split(F.translate(text_of(text), source, target), " "), lambda w: w != "")
+def bare(text: Column) -> Column:
+    """Without the blanks at both ends."""
+    return F.btrim(text, F.lit(BLANKS))
+
+
+def words_of(text: Column) -> Column:
+    """Words in order."""
+    trimmed = bare(text_of(text))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, BLANK_RUN))
 
 
 def n_words_of(text: Column) -> Column:
@@ -41,7 +44,7 @@ def n_words_of(text: Column) -> Column:
 
 def squeezed(text: Column) -> Column:
     """Every run of blanks as one space."""
-    return F.regexp_replace(text_of(text), r"[\x20\x09-\x0D]+", " ")
+    return F.regexp_replace(text_of(text), BLANK_RUN, " ")
 
 
 def let(value: Column, body) -> Column:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paritas.llm.common import BLANKS, fresh, let, squeezed, text_of
+from paritas.llm.common import bare, fresh, let, squeezed, text_of
 
 WINDOW = 3
 
@@ -33,7 +33,7 @@ def _windows(text: Column) -> Column:
             .otherwise(F.array().cast("array<int>"))
         return F.transform(starts, window)
 
-    plain = F.transform(F.split(text, "\n"), lambda line, at: F.struct(at.alias("at"), F.trim(squeezed(line)).alias("line")))
+    plain = F.transform(F.split(text, "\n"), lambda line, at: F.struct(at.alias("at"), squeezed(bare(line)).alias("line")))
     return let(F.filter(plain, lambda x: x["line"] != ""), of_lines)
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paritas.llm.common import fresh, stored, text_of, words_of
+from paritas.llm.common import fresh, stored, text_of
 from paritas.llm.graph import components
 
 BINS, ROWS = 128, 4
@@ -38,6 +38,29 @@ def scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Bytes as the comparison sees them: A-Z lowered, every blank a space.
+PLAIN = bytes(0x20 if b in b"\t\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
+BYTE_VALUES = scramble(np.arange(1, 257, dtype=np.uint64) * MULTIPLIER)
+INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
+
+
+def word_hashes(text: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the rows that ``offsets`` cut from ``text``, and where each row's begin."""
+    data = np.frombuffer(text.translate(PLAIN), np.uint8)
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = data != 0x20
+    begins, ends = inside[1:] & ~inside[:-1], ~inside[1:] & inside[:-1]
+    edges = offsets[inside[offsets] & inside[offsets + 1]]  # words that would run over from row to row
+    begins[edges] = ends[edges] = True
+    begins, ends = np.flatnonzero(begins), np.flatnonzero(ends)
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.full(len(data) + 1, MULTIPLIER, np.uint64))
+        total = np.concatenate([[np.uint64(0)], np.cumsum(BYTE_VALUES[data] * powers[:-1], dtype=np.uint64)])
+        back = np.cumprod(np.full(len(data) + 1, INVERSE, np.uint64))
+        value = (total[ends] - total[begins]) * back[begins] + (ends - begins).astype(np.uint64)
+    return scramble(value), np.searchsorted(begins, offsets)
+
+
 def shingle_sets(words: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each row, and where each row's begin; ``words`` are word hashes."""
     sizes = np.diff(offsets)
@@ -99,14 +122,15 @@ def _lists(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.view(np.int64)))
 
 
-def _slices(lists: pa.ListArray, most: int = 400_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, rows, flat values, offsets from 0) of runs of rows with about ``most`` values."""
-    offsets = lists.offsets.to_numpy().astype(np.int64)
-    flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
-    row, n = 0, len(offsets) - 1
-    while row < n:
+def _slices(batch: pa.RecordBatch, most: int = 1_500_000) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Runs of rows with about ``most`` bytes of text: the rows, their word hashes, and where each row's begin."""
+    texts = batch.column("text").cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data, row = memoryview(texts.buffers()[2] or b""), 0
+    while row < len(texts):
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + most, side="right")) - 1)
-        yield row, end - row, flat[offsets[row]:offsets[end]], offsets[row:end + 1] - offsets[row]
+        words = word_hashes(bytes(data[offsets[row]:offsets[end]]), offsets[row:end + 1] - offsets[row])
+        yield batch.slice(row, end - row), *words
         row = end
 
 
@@ -116,43 +140,39 @@ def _set_sums(shingles: np.ndarray, starts: np.ndarray) -> pa.Array:
 
 
 def _banded(width: int, bins: int, rows: int):
-    """doc_id, fp, words -> doc_id, fp, n_shingles, two 64-bit sums that name the set, band keys."""
+    """doc_id, fp, text -> doc_id, fp, n_shingles, two 64-bit sums that name the set, band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, n, words, offsets in _slices(batch.column("words")):
+            for part, words, offsets in _slices(batch):
                 shingles, starts = shingle_sets(words, offsets, width)
                 keys = band_keys(sketches(shingles, starts, bins), rows)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(first, n), batch.column("fp").slice(first, n), pa.array(np.diff(starts)),
+                    part.column("doc_id"), part.column("fp"), pa.array(np.diff(starts)),
                     _set_sums(scramble(shingles), starts), _set_sums(scramble(shingles ^ MIX), starts),
-                    _lists(keys.ravel(), np.arange(n + 1) * keys.shape[1]),
+                    _lists(keys.ravel(), np.arange(len(keys) + 1) * keys.shape[1]),
                 ], names=["doc_id", "fp", "n_shingles", "set_a", "set_b", "keys"])
     return run
 
 
 def _sets(width: int):
-    """node, words -> node, n, shingles."""
+    """node, text -> node, n, shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, n, words, offsets in _slices(batch.column("words")):
+            for part, words, offsets in _slices(batch):
                 shingles, starts = shingle_sets(words, offsets, width)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("node").slice(first, n), pa.array(np.diff(starts)), _lists(shingles, starts)],
+                    [part.column("node"), pa.array(np.diff(starts)), _lists(shingles, starts)],
                     names=["node", "n", "shingles"])
     return run
 
 
-def _hashed_words(docs: DataFrame):
-    return F.transform(words_of(F.col("text"), lower=True), lambda w: F.xxhash64(w)).alias("words")
-
-
 def _confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """u, v of the ``pairs(u, v)`` whose full sets are similar enough; only the sets of their nodes are rebuilt."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("wanted")).distinct()
-    sets = stored(docs.join(nodes, F.col("doc_id") == F.col("wanted")).select(F.col("doc_id").alias("node"), _hashed_words(docs))
+    sets = stored(docs.join(nodes, F.col("doc_id") == F.col("wanted")).select(F.col("doc_id").alias("node"), text_of(F.col("text")).alias("text"))
                   .mapInArrow(_sets(width), f"node {kind}, n bigint, shingles array<bigint>").dropDuplicates(["node", "n"]), "sets")
     left = sets.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("shingles").alias("set_u"))
     right = sets.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("shingles").alias("set_v"))
@@ -166,7 +186,7 @@ def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bin
                 rounds: int = 2) -> DataFrame:
     """doc_id, fp, n_shingles, component_id for every row of ``docs`` (fp tells apart texts under one id)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    banded = docs.select("doc_id", F.xxhash64(text_of(F.col("text"))).alias("fp"), _hashed_words(docs)).mapInArrow(
+    banded = docs.select("doc_id", F.xxhash64(text_of(F.col("text"))).alias("fp"), text_of(F.col("text")).alias("text")).mapInArrow(
         _banded(width, bins, rows),
         f"doc_id {kind}, fp bigint, n_shingles bigint, set_a bigint, set_b bigint, keys array<bigint>")
     banded = stored(banded, "bands")

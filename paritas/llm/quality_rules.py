@@ -1,6 +1,6 @@
 """Cross-document line frequency: boilerplate lines go, and so do documents they leave depleted.
 
-Lines are normalised (blanks squeezed, letters lowered, digits as 0) and hashed. For each host (``source``)
+Lines are normalised (blanks squeezed, letters lowered) and hashed. For each host (``source``)
 the number of distinct texts on which a line stands is counted, so exact copies of a document count once and
 a copied document is not mistaken for boilerplate. A line is removed on a host when it stands on more than
 ``max_docs`` texts and on more than ``max_share`` of the host's texts. A document fails when its own text is
@@ -16,12 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paritas.llm.common import BLANKS, fresh, let, text_of, words_of
+from paritas.llm.common import bare, fresh, let, squeezed, stored, text_of, words_of
 
 MAX_DOCS, MAX_SHARE, MIN_LEFT = 20, 0.03, 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 SYMBOLS = "#*$%&|<>"
-DIGITS = "0123456789"
 
 
 def _repeat_words(words: Column) -> Column:
@@ -51,23 +50,21 @@ def _repeat_words(words: Column) -> Column:
 
 def line_hashes(text: Column) -> Column:
     """One hash per ``\\n``-split line, null for a line without a word."""
-    plain = F.translate(F.lower(text_of(text)), BLANKS.replace("\n", "") + DIGITS, " " * 5 + "0" * 10)
-    return F.transform(F.split(plain, "\n"),
-                       lambda line: F.when(F.trim(line) != "", F.xxhash64(F.regexp_replace(F.trim(line), " +", " "))))
+    return F.transform(F.split(F.lower(text_of(text)), "\n"),
+                       lambda line: F.when(bare(line) != "", F.xxhash64(squeezed(bare(line)))))
 
 
 def text_facts(docs: DataFrame) -> DataFrame:
-    """doc_id, host, fp (of the text), the counts of the own text, ``base_failed``, and the lines with their words."""
+    """doc_id, host, fp (of the text), the counts of the own text, ``base_failed``, and (line hash, words) of its lines."""
     text = text_of(F.col("text"))
     rows = docs.select(
         "doc_id", F.col("source").alias("host"), F.xxhash64(text).alias("fp"), text.alias("text"),
         words_of(F.col("text")).alias("words"))
-    lines = F.split(F.col("text"), "\n")
-    worded = F.filter(lines, lambda line: F.translate(line, BLANKS, "") != "")
+    worded = F.filter(F.split(F.col("text"), "\n"), lambda line: bare(line) != "")
     rows = rows.select(
         "doc_id", "host", "fp", F.size("words").cast("long").alias("n_words"),
-        F.length(F.translate("text", BLANKS, "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        (F.length("text") - F.length(F.regexp_replace("text", f"[{SYMBOLS}]", ""))).cast("long").alias("n_symbols"),
         let(worded, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         _repeat_words(F.col("words")).alias("n_repeat_words"), _lines(F.col("text")).alias("lines"))
     return rows.withColumn("base_failed", _fails(F.col("n_words"), F.col("n_repeat_words")))
@@ -89,37 +86,35 @@ def _lines(text: Column) -> Column:
     return F.filter(pairs, lambda x: x["line"].isNotNull())
 
 
-def frequent_lines(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """host, line, line_docs: lines above the limits of their host.
+def frequent_lines(lined: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+    """host, line, line_docs: lines above the limits of their host, of ``lined(host, fp, lines)``.
 
     Both counts start per task; a host or line that holds a third of all rows is a handful of rows by then.
     """
-    text = text_of(F.col("text"))
-    base = docs.select(F.col("source").alias("host"), F.xxhash64(text).alias("fp"), F.array_distinct(F.array_compact(line_hashes(F.col("text")))).alias("lines"))
-    on = base.select("host", "fp", F.explode("lines").alias("line")).distinct().groupBy("host", "line") \
-        .agg(F.count("*").alias("line_docs")).where(F.col("line_docs") > max_docs)
-    hosts = docs.select(F.col("source").alias("host_key"), F.xxhash64(text).alias("fp")).distinct() \
-        .groupBy("host_key").agg(F.count("*").alias("host_docs"))
+    texts = lined.select("host", "fp", F.explode(F.array_distinct("lines.line")).alias("line")).distinct()
+    on = texts.groupBy("host", "line").agg(F.count("*").alias("line_docs")).where(F.col("line_docs") > max_docs)
+    hosts = lined.select(F.col("host").alias("host_key"), "fp").distinct().groupBy("host_key").agg(F.count("*").alias("host_docs"))
     return on.join(hosts, F.col("host").eqNullSafe(F.col("host_key"))) \
         .where(F.col("line_docs") > max_share * F.col("host_docs")).select("host", "line", "line_docs")
 
 
-def _hits(docs: DataFrame, frequent: DataFrame) -> DataFrame:
+def _hits(lined: DataFrame, max_docs: int, max_share: float) -> DataFrame:
     """hit_id, hit_host, hit_fp, removed: the frequent lines of each document that has any."""
-    lines = docs.select(
-        F.col("source").alias("host"), "doc_id", F.xxhash64(text_of(F.col("text"))).alias("fp"),
-        F.explode(F.array_distinct(F.array_compact(line_hashes(F.col("text"))))).alias("line"))
-    limits = frequent.select(F.col("host").alias("limit_host"), F.col("line").alias("limit_line"))
+    lines = lined.select("host", "doc_id", "fp", F.explode(F.array_distinct("lines.line")).alias("line"))
+    limits = frequent_lines(lined, max_docs, max_share).select(F.col("host").alias("limit_host"), F.col("line").alias("limit_line"))
     found = lines.join(limits, F.col("host").eqNullSafe(F.col("limit_host")) & (F.col("line") == F.col("limit_line")))
     return found.groupBy(F.col("doc_id").alias("hit_id"), F.col("host").alias("hit_host"), F.col("fp").alias("hit_fp")) \
         .agg(F.collect_set("line").alias("removed"))
 
 
 def verdicts(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
-    """One row per document: the counts of its own text, what the line limits take, and ``kept``."""
-    hits = _hits(docs, frequent_lines(docs, max_docs, max_share))
-    rows = text_facts(docs).join(
-        hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & F.col("host").eqNullSafe(F.col("hit_host"))
+    """One row per document: the counts of its own text, what the line limits take, and ``kept``.
+
+    The texts are read once; what is known of them is written to the shared folder.
+    """
+    facts = stored(text_facts(docs), "text-facts")
+    rows = facts.join(
+        _hits(facts, max_docs, max_share), F.col("doc_id").eqNullSafe(F.col("hit_id")) & F.col("host").eqNullSafe(F.col("hit_host"))
         & (F.col("fp") == F.col("hit_fp")), "left")
     gone = F.when(F.col("removed").isNull(), F.array().cast("array<struct<line:bigint,n:int>>")) \
         .otherwise(F.filter("lines", lambda x: F.array_contains("removed", x["line"])))
@@ -136,7 +131,8 @@ def clean(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHAR
     names = fresh(docs, "q_failed", "q_words", "q_fp", "q_lines", "hit_id", "hit_host", "hit_fp", "removed")
     failed, words, fp, lines, hit_id, hit_host, hit_fp, removed = names
     own = text_of(F.col("text"))
-    hits = _hits(docs, frequent_lines(docs, max_docs, max_share)).toDF(hit_id, hit_host, hit_fp, removed)
+    lined = stored(docs.select("doc_id", F.col("source").alias("host"), F.xxhash64(own).alias("fp"), _lines(F.col("text")).alias("lines")), "lines")
+    hits = _hits(lined, max_docs, max_share).toDF(hit_id, hit_host, hit_fp, removed)
     rows = docs.withColumns({fp: F.xxhash64(own)}).join(
         hits, F.col("doc_id").eqNullSafe(F.col(hit_id)) & F.col("source").eqNullSafe(F.col(hit_host))
         & (F.col(fp) == F.col(hit_fp)), "left")
