@@ -7,8 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paritas.llm import line_dedup, mixing, near_dedup, quality_rules
-from paritas.llm.common import read
+from paritas.llm import (
+    chat_format,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    quality_rules,
+    token_counts,
+)
+from paritas.llm.common import crc_bucket, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -24,6 +34,20 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(read(spark, sf_dir, "documents"))
 
 
+@query
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame(
+        [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], given.schema)
+    turns = given.unionAll(planted).select("conv_id", "turn", "role", chat_format.text_part(F.col("text")).alias("parts"))
+    return chat_format.digest(turns)
+
+
+@query
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.copies(read(spark, sf_dir, "documents"))
+
+
 @query
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
@@ -33,12 +57,30 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col(copies) * F.col(size)).alias("taken"), F.col(copies).alias("copies"))
 
 
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", crc_bucket(F.col("doc_id"), 5) == 0)
+    content = language_id.dictionaries(docs.where(~F.col("held_out")))
+    return language_id.predict(docs.select("doc_id", "held_out", "text"), content)
+
+
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.dedup_lines(read(spark, sf_dir, "documents"), report=("n_removed_lines",))
     return rows.select("doc_id", "n_removed_lines", F.col("n_chars").alias("n_chars_left"), F.sha2("text", 256).alias("text_sha256"))
 
 
+@query
+def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = token_counts.counts(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 @query
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_dedup.near_groups(read(spark, sf_dir, "documents"), width=4, percent=80)
