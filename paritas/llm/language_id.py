@@ -1,7 +1,7 @@
 """Language identification by compression.
 
-Each language has a zstandard raw-content dictionary: whole texts of a bounded sample of its labelled rows. A text is
-compressed with every dictionary, and the language of the smallest result wins; the margin to the runner-up, as a
+Each language has a zstandard raw-content dictionary: whole texts of a bounded sample of its labelled rows. A text,
+lower-cased as they are, is compressed with every dictionary, and the language of the smallest result wins; the margin to the runner-up, as a
 share of its size, is the score, and a narrow one rejects the answer (``rejected``). Long texts are compressed in
 blocks, each starting from the dictionary, so every part of a text counts and memory stays bounded.
 
@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS, SAMPLE_CHARS, DICT_BYTES = 96, 20_000, 112_640
-BLOCK, LEVEL, NARROW = 8192, 3, 0.01
+BLOCK, LEVEL, NARROW = 8192, 9, 0.01
 UNKNOWN = "und"
 
 
@@ -34,7 +34,7 @@ def dictionaries(labelled: DataFrame) -> dict[str, bytes]:
     content: dict[str, dict[str, None]] = {}
     for row in sample.orderBy("lang", "place").collect():
         content.setdefault(row["lang"], {})[row["text"]] = None
-    return {lang: "\n".join(texts).encode()[:DICT_BYTES] for lang, texts in content.items()}
+    return {lang: "\n".join(texts).lower().encode()[:DICT_BYTES] for lang, texts in content.items()}
 
 
 def sizes(text: bytes, compressors: list, block: int = BLOCK) -> list[int]:
@@ -47,7 +47,7 @@ def judged(text: str | None, names: list[str], compressors: list) -> tuple[str,
     """(language, score, rejected) of a text."""
     if not names or text is None or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0, True
-    ranked = sorted(zip(sizes(text.encode(), compressors), names, strict=True))
+    ranked = sorted(zip(sizes(text.lower().encode(), compressors), names, strict=True))
     score = (ranked[1][0] - ranked[0][0]) / ranked[1][0] if len(ranked) > 1 else 0.0
     return ranked[0][1], score, score < NARROW
 
