@@ -33,10 +33,6 @@ PARTITION_UNITS = {
     "all": "all", "whole": "all", "snapshot": "all",
 }
 
-# The domain of DATE bounds how many distinct days any table can have, whatever its
-# row count, so day-keyed tables stay broadcastable (4 bytes a day, plus a label).
-MAX_DISTINCT_DAYS = 3_652_059
-
 EXCEL_EPOCH = "1899-12-30"
 
 
@@ -117,9 +113,12 @@ def contains_datelike(c: Column) -> Column:
 
 
 def parse_with(c: Column, fmt: str | None) -> Column:
-    """Text in a known format to DATE; the common formats avoid a formatter."""
-    if fmt is None:
-        return parse_any(c)
+    """Text mostly in a known format to DATE; what does not fit it is read in any notation, so no minority is lost."""
+    return parse_any(c) if fmt is None else F.coalesce(_parse_in(c, fmt), parse_any(c))
+
+
+def _parse_in(c: Column, fmt: str) -> Column:
+    """Text in one format to DATE, NULL for other text; the common formats avoid a formatter."""
     if fmt == COMPACT:
         return F.when(F.length(c) == 8, compact_to_date(c))
     if fmt == ISO:

@@ -61,10 +61,3 @@ def fingerprint_of_sums() -> Column:
     """Digest of the summed limbs and the row count ``n``."""
     parts = [F.col(f"limb_{i}").cast("string") for i in range(6)] + [F.col("n").cast("string")]
     return F.md5(F.concat_ws("-", *parts))
-
-
-def null_safe_equal(left: str, right: str, keys: list[str]) -> Column:
-    """Join condition that also pairs NULL keys; still planned as an equi-join."""
-    return reduce(
-        lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
-    )

@@ -43,9 +43,11 @@ def norm_number(c: Column, dtype: T.DataType, decimals: int = DECIMALS) -> Colum
     if isinstance(dtype, T.IntegralType):
         fixed = c.cast("string") if decimals == 0 else F.concat(c.cast("string"), F.lit("." + "0" * decimals))
     elif isinstance(dtype, T.StringType):
-        value = c.try_cast("double")
+        # exact as far as 38 digits go; what is larger, or not finite, is read as a float
+        exact, value = c.try_cast("decimal(38,10)"), c.try_cast("double")
         as_text = norm_label(c)
-        parsed = norm_number(value, T.DoubleType(), decimals)
+        parsed = F.when(exact.isNotNull(), norm_number(exact, T.DecimalType(38, 10), decimals)) \
+            .otherwise(norm_number(value, T.DoubleType(), decimals))
         return F.when(value.isNotNull() | as_text.isNull(), parsed).otherwise(as_text)
     else:
         # 18 digits fit a machine word and cover all but outliers; both casts round half up

@@ -57,10 +57,8 @@ def tokenised_by_presence(comment: Column) -> Column:
 def render_value(c: Column, numeric: bool = False, cut: int = TEXT_CUT) -> Column:
     """Text shown in a report: NULL as '', whole floats as ints, long text cut."""
     if numeric:
-        whole = (c == F.floor(c)) & (F.abs(c) < 1e15)
-        return F.coalesce(
-            F.when(whole, c.cast("bigint").cast("string")).otherwise(c.cast("string")), F.lit("")
-        )
+        whole = c.try_cast("decimal(38,0)")
+        return F.coalesce(F.when(whole == c, whole.cast("string")), c.cast("string"), F.lit(""))
     text = c.cast("string")
     return F.coalesce(
         F.when(F.length(text) > cut, F.concat(F.substring(text, 1, cut), F.lit("..."))).otherwise(text),

@@ -17,7 +17,8 @@ LEFT, RIGHT = "left", "right"
 class ColumnPair:
     """One left column, the right column it is mapped to, and how they are compared.
 
-    ``left_fmt`` / ``right_fmt`` are the date patterns of text columns, if any.
+    ``left_fmt`` / ``right_fmt`` are the date patterns of text columns, if any. ``key_type`` is the exact type in which
+    numbers of both sides meet as keys.
     """
 
     left: str
@@ -25,6 +26,7 @@ class ColumnPair:
     family: str
     left_fmt: str | None = None
     right_fmt: str | None = None
+    key_type: str = "bigint"
 
     @property
     def name(self) -> str:
@@ -53,12 +55,21 @@ class ColumnPair:
         return normalize.norm_by_type(df[column], df.schema[column].dataType, self.family, fmt, decimals)
 
     def key(self, df: DataFrame, side: str) -> Column:
-        """Value as a join key: whole numbers as BIGINT, other numbers as DOUBLE."""
+        """Value as a join key: numbers in the exact type that holds both sides."""
         column, _ = self.source(side)
-        value = self.value(df, side)
-        if self.family == NUMBER and not isinstance(df.schema[column].dataType, T.IntegralType):
-            return value.cast("double")
-        return value
+        return df[column].try_cast(self.key_type) if self.family == NUMBER else self.value(df, side)
+
+
+#: Digits after the point of a key that is text or floating on one side.
+LOOSE_SCALE = 10
+
+
+def exact_type(left: T.DataType, right: T.DataType) -> str:
+    """BIGINT when both sides are whole numbers, else the widest decimal with the larger scale of the two."""
+    if isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType):
+        return "bigint"
+    scales = [0 if isinstance(t, T.IntegralType) else t.scale if isinstance(t, T.DecimalType) else LOOSE_SCALE for t in (left, right)]
+    return f"decimal(38,{max(scales)})"
 
 
 def pair_columns(left: DataFrame, right: DataFrame, mapping: dict[str, str],
@@ -71,7 +82,7 @@ def pair_columns(left: DataFrame, right: DataFrame, mapping: dict[str, str],
     left_fmt, right_fmt = left_fmt or {}, right_fmt or {}
     return [
         ColumnPair(l, r, common_family(left.schema[l].dataType, right.schema[r].dataType),
-                   left_fmt.get(l), right_fmt.get(r))
+                   left_fmt.get(l), right_fmt.get(r), exact_type(left.schema[l].dataType, right.schema[r].dataType))
         for l, r in mapping.items()
     ]
 

@@ -89,6 +89,23 @@ def days_in_windows(days: DataFrame, windows: DataFrame, unit: str) -> DataFrame
         (F.col("day") >= F.col("start_date")) & (F.col("day") <= F.col("end_date")))
 
 
+def all_windows(left: DataFrame, right: DataFrame, both: DataFrame, unit: str) -> DataFrame:
+    """Vintages of either side: ``sides`` (both, left_only, right_only), the window (the left one where there
+    is one) and the number of unequal days."""
+    theirs = right.select("vintage", F.col("start_date").alias("r_start"), F.col("end_date").alias("r_end"), F.lit(True).alias("in_right"))
+    mine = left.withColumn("in_left", F.lit(True)).join(theirs, "vintage", "full_outer")
+    bad = (
+        both.where("day IS NOT NULL AND n_left <> n_right")
+        .groupBy(dates.vintage_label(F.col("day"), unit).alias("vintage"))
+        .agg(F.count(F.lit(1)).alias("excluded_days"))
+    )
+    sides = F.when(F.col("in_right").isNull(), "left_only").when(F.col("in_left").isNull(), "right_only").otherwise("both")
+    return mine.join(bad, "vintage", "left").select(
+        "vintage", sides.alias("sides"), F.coalesce("start_date", "r_start").alias("start_date"),
+        F.coalesce("end_date", "r_end").alias("end_date"),
+        F.coalesce("excluded_days", F.lit(0).cast("bigint")).alias("excluded_days"))
+
+
 def paired_windows(left: DataFrame, right: DataFrame, both: DataFrame, unit: str) -> DataFrame:
     """Vintages on both sides with the left window and its number of unequal days.
 

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import hashing
 from .columns import LEFT, RIGHT, ColumnPair
 
-# How many differing keys a report shows per vintage, and keeps per table.
-SAMPLE_ROWS, MISMATCH_CAP = 100, 10_000
+# Fixed value: how many differing keys a report shows per vintage.
+SAMPLE_ROWS = 100
 
 MATCHED, MISMATCH, LEFT_ONLY, RIGHT_ONLY = "matched", "hash_mismatch", "left_only", "right_only"
 
@@ -98,6 +98,21 @@ def compare_multisets(left: DataFrame, right: DataFrame, by: list[str]) -> DataF
     )
 
 
+def multiset_counts(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """The counts of :func:`compare_counts` without keys: equal hashes pair off, the surplus is one-sided."""
+    per_hash = _stacked(left, right, by)
+    wide = lambda c: c.cast("decimal(38,0)")
+    paired = F.least("in_left", "in_right")
+    return per_hash.groupBy(*by).agg(
+        F.sum("in_left").alias("left_rows"),
+        F.sum("in_right").alias("right_rows"),
+        wide(F.sum(paired)).alias("matched"),
+        F.sum(F.col("in_left") - paired).alias("left_only"),
+        F.sum(F.col("in_right") - paired).alias("right_only"),
+        wide(F.lit(0)).alias("hash_mismatch"),
+    )
+
+
 def compare_counts(compared: DataFrame, by: list[str], duplicates: bool = False) -> DataFrame:
     """Rows per outcome and group; ``duplicates`` adds the keys held by several rows of a side.
 
@@ -149,9 +164,11 @@ def hash_counts(hashes: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def sample_mismatches(compared: DataFrame, keys: list[str], by: list[str], n: int = SAMPLE_ROWS) -> DataFrame:
-    """The first ``n`` differing keys of each group, in key order, with both hashes."""
+def sample_mismatches(compared: DataFrame, keys: list[str], by: list[str], n: int | None = SAMPLE_ROWS) -> DataFrame:
+    """The first ``n`` differing keys of each group, in key order, with both hashes; all of them for None."""
     differing, shown = compared.where(F.col("hash_mismatch") > 0), [*by, *keys, "left_hash", "right_hash"]
+    if n is None:
+        return differing.select(*shown)
     if not by:
         # a plain top-n: every task keeps n rows and only those are merged
         return differing.orderBy(*keys).limit(n).select(*shown)
@@ -228,18 +245,21 @@ def key_bucket(keys: list[Column]) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
-def hash_sample(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """About ``rows`` rows chosen by key hash: the other side picks the same keys."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    share = F.lit(rows).cast("double") / F.greatest(total, F.lit(1))
-    return df.where(key_bucket([F.col(k) for k in keys]) < share * F.lit(float(1 << 32)))
+def hash_sample(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str],
+                rows: int) -> tuple[DataFrame, DataFrame]:
+    """About ``rows`` rows of each side chosen by key hash, under one threshold: both sides hold the same keys."""
+    count = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    share = F.lit(rows).cast("double") / F.greatest(count(left), count(right), F.lit(1))
+    pick = lambda df, keys: df.where(key_bucket([F.col(k) for k in keys]) < share * F.lit(float(1 << 32)))
+    return pick(left, left_keys), pick(right, right_keys)
 
 
-def vintage_batches(hashes: DataFrame, size: int, vintage: str = "vintage") -> DataFrame:
+def vintage_batches(hashes: DataFrame, counts: DataFrame, size: int, vintage: str = "vintage") -> DataFrame:
     """Split large vintages: ``batch`` is the row hash modulo the batches a vintage needs.
 
-    The joined table has one row per vintage, and vintages are bounded by the calendar.
+    ``counts(vintage, n)`` is known from the day counts, so rows are hashed once. It has one row per vintage, and
+    vintages are bounded by the calendar.
     """
-    sizes = hashes.groupBy(vintage).agg(F.ceil(F.count(F.lit(1)) / F.lit(size)).cast("bigint").alias("batches"))
+    sizes = counts.select(vintage, F.ceil(F.col("n") / F.lit(size)).cast("bigint").alias("batches"))
     prefix = F.conv(F.substring("hash_value", 1, 8), 16, 10).cast("bigint")
     return hashes.join(F.broadcast(sizes), vintage).withColumn("batch", prefix % F.col("batches"))

@@ -16,22 +16,29 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import dates
 from ..operators import crosswalk as cw, daycounts, filters, profile, quality, reports, rowhash
 from ..operators.columns import LEFT, RIGHT, ColumnPair, pair_columns
-from ..sources import catalog, scan
-from ..sources.results import keep
+from ..sources import catalog
+from ..sources.local import local_rows
+from ..sources.results import stored
 
 ALL = "all"
 
+# What a vintage comes out as. MATCH and the three kinds of difference are for rows that were compared.
+ROWS_DIFFER, COLUMNS_DIFFER, DAYS_DIFFER, MATCH = "ROWS_DIFFER", "COLUMNS_DIFFER", "DAYS_DIFFER", "MATCH"
+VERDICT_SCHEMA = ("table_name string, column string, vintages bigint, vintages_mismatched bigint, is_mismatched boolean, "
+                  "max_distinct bigint, key_rank int")
+LEFT_ONLY, RIGHT_ONLY = "LEFT_ONLY", "RIGHT_ONLY"
+NULL_DATES, NO_COLUMNS, NOT_HASHED = "NULL_DATES", "NO_COMPARABLE_COLUMNS", "NOT_HASHED"
+
 
 @dataclass
 class ReconPair:
     """Two tables that should hold the same data.
 
     ``crosswalk`` has left_col, right_col, is_tokenized and optionally col_map and ord.
-    Date columns may be dates, timestamps or text; the format of a text date is found by
-    profiling the column unless it is given.
+    Date columns may be dates, timestamps or text; the most frequent format of a text date is found
+    by profiling the column unless it is given, and text in another notation is read as what it is.
 
-    ``left_tasks`` / ``right_tasks`` spread a side that is stored in fewer splits than the
-    cluster has cores (``sources.scan.tasks_for``); leave them unset for large tables.
+    ``base`` is the folder on shared storage for what passes between the stages; the session's own if None.
     """
 
     name: str
@@ -52,8 +59,7 @@ class ReconPair:
     normalised_profile: bool = False
     keys: list[str] | None = None
     hash_all: bool = False
-    left_tasks: int | None = None
-    right_tasks: int | None = None
+    base: str | None = None
     rules: dict = field(default_factory=lambda: dict(quality.STAT_RULES))
 
     def __post_init__(self) -> None:
@@ -98,15 +104,11 @@ class ReconPair:
 
     def scoped(self, side: str) -> DataFrame:
         """Rows that take part in the costly checks, labelled with their vintage."""
-        df = self._spread(side)
+        df = self.rows(side)
         if not self.dated:
             return df.withColumn("vintage", F.lit(ALL))
         return filters.in_scope(df, self.day(side), self.scope)
 
-    def _spread(self, side: str) -> DataFrame:
-        tasks = self.left_tasks if side == LEFT else self.right_tasks
-        return scan.spread(self.rows(side), tasks, [p.source(side)[0] for p in self.columns])
-
     # ------------------------------------------------------------ meta check
 
     @cached_property
@@ -153,7 +155,7 @@ class ReconPair:
             nothing = F.lit(None).cast("date").alias("day")
             left = daycounts.total_rows(self.rows(LEFT)).select(nothing, "n")
             right = daycounts.total_rows(self.rows(RIGHT)).select(nothing, "n")
-        return keep(daycounts.both_counts(left, right))
+        return stored(daycounts.both_counts(left, right), f"{self.name}-days", self.base)
 
     @cached_property
     def scope(self) -> DataFrame:
@@ -164,13 +166,25 @@ class ReconPair:
         return dates.windows(daycounts.bounds(mine), self.unit)
 
     def vintages(self) -> DataFrame:
-        """Vintages on both sides, their window and the number of days set aside."""
+        """Vintages of either side: which sides have it, its window, the number of days set aside.
+
+        Rows without a date are a vintage of their own, ``null_date``, which no later stage compares.
+        """
+        none = F.lit(None).cast("date")
         if not self.dated:
-            none = F.lit(None).cast("date")
             return self.day_counts.select(
-                F.lit(ALL).alias("vintage"), none.alias("start_date"), none.alias("end_date"),
+                F.lit(ALL).alias("vintage"), F.lit("both").alias("sides"), none.alias("start_date"), none.alias("end_date"),
                 F.lit(0).cast("bigint").alias("excluded_days"))
-        return daycounts.paired_windows(self.windows(LEFT), self.windows(RIGHT), self.day_counts, self.unit)
+        undated = self.day_counts.where("day IS NULL").select(
+            F.lit(daycounts.NULL_DATE).alias("vintage"), F.lit("undated").alias("sides"), none.alias("start_date"),
+            none.alias("end_date"), F.lit(0).cast("bigint").alias("excluded_days"))
+        return daycounts.all_windows(self.windows(LEFT), self.windows(RIGHT), self.day_counts, self.unit).unionByName(undated)
+
+    def vintage_rows(self) -> DataFrame:
+        """``(vintage, day_rows_left, day_rows_right)``: all rows of a vintage, compared or not, from the day counts."""
+        label = F.coalesce(dates.vintage_label(F.col("day"), self.unit), F.lit(daycounts.NULL_DATE)) if self.dated else F.lit(ALL)
+        return self.day_counts.groupBy(label.alias("vintage")).agg(
+            F.sum("n_left").alias("day_rows_left"), F.sum("n_right").alias("day_rows_right"))
 
     def day_summary(self) -> DataFrame:
         if self.dated:
@@ -181,8 +195,9 @@ class ReconPair:
     def meta(self) -> DataFrame:
         """One row per vintage with the day and column summary of the table."""
         summary = self.day_summary().select(F.struct("total_days", "matched_days", "all_match")).scalar()
-        return self.vintages().withColumn("s", summary).select(
-            F.lit(self.name).alias("table_name"), "vintage", "start_date", "end_date", "excluded_days",
+        return self.vintages().join(self.vintage_rows(), "vintage", "left").withColumn("s", summary).select(
+            F.lit(self.name).alias("table_name"), "vintage", "sides", "start_date", "end_date", "excluded_days",
+            "day_rows_left", "day_rows_right",
             "s.total_days", "s.matched_days", "s.all_match",
             F.lit(len(self.columns)).cast("bigint").alias("comparable_columns"))
 
@@ -201,13 +216,16 @@ class ReconPair:
     @cached_property
     def compared(self) -> DataFrame:
         """Statistics side by side with a flag each; kept, as the later stages read it."""
-        return keep(quality.stat_flags(quality.side_by_side(self.stats(), ["vintage"]), self.rules))
+        flagged = quality.stat_flags(quality.side_by_side(self.stats(), ["vintage"]), self.rules)
+        return stored(flagged, f"{self.name}-statistics", self.base)
 
     def verdicts(self) -> DataFrame:
         return quality.column_verdicts(self.compared)
 
     def column_check(self) -> DataFrame:
-        """One row per column: verdict, cardinality and rank among the key columns."""
+        """One row per column: verdict, cardinality and rank among the key columns; none without comparable columns."""
+        if not self.columns:
+            return local_rows(self.left.sparkSession, [], VERDICT_SCHEMA)
         verdicts = self.verdicts()
         ranks = quality.key_columns(verdicts, n=self.key_count).select("column", "key_rank")
         return verdicts.join(ranks, "column", "left").select(F.lit(self.name).alias("table_name"), "*")
@@ -219,6 +237,8 @@ class ReconPair:
     def _chosen(self) -> tuple[list[ColumnPair], list[ColumnPair]]:
         """Columns to hash and key columns; one row per column is read."""
         by_name = {p.name: p for p in self.columns}
+        if not self.columns:
+            return [], []
         if self.hash_all and self.keys is not None:
             return self.columns, [by_name[k] for k in self.keys]
         rows = self.column_check().collect()
@@ -239,17 +259,19 @@ class ReconPair:
     def labelled(self, side: str) -> DataFrame:
         """Every row with its vintage, equal counts or not."""
         label = dates.vintage_label(self.day(side), self.unit) if self.dated else F.lit(ALL)
-        return self._spread(side).withColumn("vintage", label)
+        return self.rows(side).withColumn("vintage", F.coalesce(label, F.lit(daycounts.NULL_DATE)))
 
     def compared_rows(self, scoped: bool = True) -> DataFrame:
         keys = [k.name for k in self._chosen[1]]
         return rowhash.compare_keys(self.hashes(LEFT, scoped), self.hashes(RIGHT, scoped), keys, ["vintage"])
 
     def hash_check(self, scoped: bool = True) -> DataFrame:
-        """Matched, differing and one-sided rows per vintage."""
+        """Matched, differing and one-sided rows per vintage; without keys, rows are compared as multisets."""
         hashed, keys = self._chosen
-        if not hashed or not keys:
+        if not hashed:
             return self._nothing_to_hash()
+        if not keys:
+            return rowhash.multiset_counts(self.hashes(LEFT, scoped), self.hashes(RIGHT, scoped), ["vintage"])
         return rowhash.compare_counts(self.compared_rows(scoped), ["vintage"])
 
     def _nothing_to_hash(self) -> DataFrame:
@@ -274,28 +296,38 @@ class ReconPair:
     # ------------------------------------------------------------ all of it
 
     def reconcile(self) -> DataFrame:
-        """Meta, column and hash check in a row: one line per vintage with a status."""
+        """Meta, column and hash check in a row: one line per vintage with a status.
+
+        MATCH means that rows were compared and agree. Vintages on one side, rows without a date, tables without a
+        comparable column and vintages of which nothing was hashed have a status of their own, with the rows the
+        day counts know of.
+        """
         none = F.lit(0).cast("bigint")
         hashed = self.hash_check()
         counts = [c for c in hashed.columns if c != "vintage"]
-        joined = (
-            self.vintages()
-            .join(self.match_rates(), "vintage", "left")
-            .join(hashed, "vintage", "left")
-        )
-        filled = {c: F.coalesce(F.col(c).cast("bigint"), none)
-                  for c in [*counts, "total_columns", "matched_columns", "mismatched_columns"]}
-        out = joined.withColumns(filled)
+        joined = self.vintages().join(self.vintage_rows(), "vintage", "left").join(hashed, "vintage", "left")
+        summary = ["total_columns", "matched_columns", "mismatched_columns"]
+        if self.columns:
+            joined = joined.join(self.match_rates(), "vintage", "left")
+        else:
+            joined = joined.withColumns({c: none for c in summary})
+        out = joined.withColumns({c: F.coalesce(F.col(c).cast("bigint"), none)
+                                  for c in [*counts, *summary, "day_rows_left", "day_rows_right"]})
         one_sided = F.col("left_only") + F.col("right_only")
         status = (
-            F.when((F.col("hash_mismatch") > 0) | (one_sided > 0), "ROWS_DIFFER")
-            .when(F.col("mismatched_columns") > 0, "COLUMNS_DIFFER")
-            .when(F.col("excluded_days") > 0, "DAYS_DIFFER")
-            .otherwise("MATCH")
+            F.when(F.col("sides") == "undated", NULL_DATES)
+            .when((F.col("day_rows_left") > 0) & (F.col("day_rows_right") == 0), LEFT_ONLY)
+            .when((F.col("day_rows_right") > 0) & (F.col("day_rows_left") == 0), RIGHT_ONLY)
+            .when(F.lit(not self.columns), NO_COLUMNS)
+            .when((F.col("hash_mismatch") > 0) | (one_sided > 0), ROWS_DIFFER)
+            .when(F.col("mismatched_columns") > 0, COLUMNS_DIFFER)
+            .when(F.col("excluded_days") > 0, DAYS_DIFFER)
+            .when((F.col("left_rows") == 0) & (F.col("day_rows_left") + F.col("day_rows_right") > 0), NOT_HASHED)
+            .otherwise(MATCH)
         )
         return out.select(
             F.lit(self.name).alias("table_name"), "vintage", "start_date", "end_date", "excluded_days",
-            "total_columns", "matched_columns", "mismatched_columns", *counts, status.alias("status"))
+            "day_rows_left", "day_rows_right", *summary, *counts, status.alias("status"))
 
     def report(self) -> DataFrame:
         """The checks as typed sections of one table."""

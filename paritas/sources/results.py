@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,35 +17,39 @@ def run_path(base: str, run: str, step: str | None, name: str) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster shares for intermediate tables.
 
-    Taken from ``spark.checkpoint.dir`` or the context's checkpoint folder. Only a local
-    session may fall back to a temporary folder; elsewhere that would not be shared.
+    Taken from ``spark.checkpoint.dir`` or the context's checkpoint folder; a session that has neither writes below
+    its warehouse, which is shared as well.
     """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(configured)
-        return configured
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="paritas-")
-    context.setCheckpointDir(folder)
-    return folder
-
-
-def keep(df: DataFrame) -> DataFrame:
-    """Cut the lineage behind a small stage result by a reliable checkpoint.
-
-    Later stages then read the written result, also after losing executors, instead of
-    repeating the scans behind it.
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+
+
+def scratch(spark: SparkSession, label: str, base: str | None = None) -> str:
+    """A fresh path below ``base`` or the shared folder; what is written there goes when the program ends."""
+    path = f"{(base or shared_dir(spark)).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    atexit.register(_discard, spark, path)
+    return path
+
+
+def stored(df: DataFrame, label: str, base: str | None = None) -> DataFrame:
+    """Cut the lineage behind a stage result: written as Parquet to shared storage and read again.
+
+    Later stages read what was written, also after losing executors, instead of repeating the scans behind it.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch(df.sparkSession, label, base)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+def _discard(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is None:
+        return
+    try:
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the program is ending; whatever is left is scratch
+        pass
 
 
 def write_result(df: DataFrame, path: str, fmt: str = "parquet") -> str:

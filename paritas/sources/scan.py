@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .local import local_rows
 
-READERS = ("parquet", "orc", "json", "csv", "avro")
-
-
 def read_table(spark: SparkSession, source: str, fmt: str = "parquet", **options: str) -> DataFrame:
     """A path in one of the file formats, or a catalog table name with ``fmt='table'``."""
     if fmt == "table":
@@ -43,28 +40,3 @@ def access_report(spark: SparkSession, sources: dict[str, str], fmt: str = "parq
     """``(table_name, accessible, error)`` for a list of tables, one probe each."""
     rows = [(name, *probe(spark, path, fmt)) for name, path in sources.items()]
     return local_rows(spark, rows, "table_name string, accessible boolean, error string")
-
-
-
-
-# How many tasks one input split may be fanned out to.
-FAN_OUT = 8
-
-
-def tasks_for(df: DataFrame) -> int | None:
-    """Tasks to spread a plain file scan over, None when its splits already fill the cluster.
-
-    A file with one row group is one task however many cores there are. Meant for scans
-    only: a table read from many splits is never shuffled for this.
-    """
-    splits, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
-    return min(cores, FAN_OUT * splits) if splits < cores else None
-
-
-def spread(df: DataFrame, tasks: int | None, columns: list[str]) -> DataFrame:
-    """Redistribute by a few columns over more tasks; no-op for None.
-
-    By value rather than round-robin, which would sort each split first to be repeatable;
-    several columns, so that one hot value does not keep its rows together.
-    """
-    return df.repartition(tasks, *columns[:3]) if tasks else df

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..plans import ReconPair
 from ..sources.local import local_rows
-from ..sources.scan import tasks_for
 
 CROSSWALK_SCHEMA = "ord int, left_col string, right_col string, comment string, is_tokenized boolean"
 
@@ -21,11 +20,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _tasks(spark: SparkSession, sf: str, name: str) -> dict:
-    tasks = tasks_for(table(spark, sf, name))
-    return {"left_tasks": tasks, "right_tasks": tasks}
-
-
 def crosswalk(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """Crosswalk of one pair: ``(left, right, comment)`` rows, a schema-sized table."""
     full = [(i, l, r, c, c is not None and c.lower().startswith("tokenise")) for i, (l, r, c) in enumerate(rows)]
@@ -84,7 +78,6 @@ def orders_right(spark: SparkSession, sf: str, cancelling: bool = False) -> Data
 
 
 def orders_pair(spark: SparkSession, sf: str, **options) -> ReconPair:
-    options = {**_tasks(spark, sf, "orders"), **options}
     options = {"partition": "month", "right_fmt": "yyyyMMdd", **options}
     return ReconPair("orders", orders_left(spark, sf), orders_right(spark, sf),
                      crosswalk(spark, ORDERS_CROSSWALK), "ORDER_DT", "order_dt", **options)
@@ -122,7 +115,6 @@ def lineitem_right(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lineitem_pair(spark: SparkSession, sf: str, **options) -> ReconPair:
-    options = {**_tasks(spark, sf, "lineitem"), **options}
     options = {"partition": "week", **options}
     return ReconPair("lineitem", lineitem_left(spark, sf), lineitem_right(spark, sf),
                      crosswalk(spark, LINEITEM_CROSSWALK), "SHIP_DT", "ship_dt", **options)
@@ -151,7 +143,6 @@ def events_right(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def events_pair(spark: SparkSession, sf: str, **options) -> ReconPair:
-    options = {**_tasks(spark, sf, "events"), **options}
     options = {"partition": "day", "right_fmt": "yyyy-MM-dd HH:mm:ss", **options}
     return ReconPair("events", events_left(spark, sf), events_right(spark, sf),
                      crosswalk(spark, EVENTS_CROSSWALK), "TS", "ts", **options)
@@ -177,7 +168,6 @@ def customer_right(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def customer_pair(spark: SparkSession, sf: str, **options) -> ReconPair:
-    options = {**_tasks(spark, sf, "customer"), **options}
     return ReconPair("customer", customer_left(spark, sf), customer_right(spark, sf),
                      crosswalk(spark, CUSTOMER_CROSSWALK), **options)
 
@@ -202,12 +192,10 @@ def part_right(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def part_pair(spark: SparkSession, sf: str, **options) -> ReconPair:
-    options = {**_tasks(spark, sf, "part"), **options}
     return ReconPair("part", part_left(spark, sf), part_right(spark, sf), crosswalk(spark, PART_CROSSWALK), **options)
 
 
 def nation_pair(spark: SparkSession, sf: str, **options) -> ReconPair:
-    options = {**_tasks(spark, sf, "nation"), **options}
     n = table(spark, sf, "nation")
     rows = [(c.upper(), c, None) for c in n.columns]
     return ReconPair("nation", n.toDF(*[c.upper() for c in n.columns]), n, crosswalk(spark, rows), **options)

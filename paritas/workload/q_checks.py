@@ -9,6 +9,7 @@ from ..functions.types import NUMBER
 from ..operators import profile, quality, reports, rowhash
 from ..operators.columns import same_columns
 from ..sources import scan
+from ..plans import ReconPair
 from . import pairs
 from .registry import query
 from .shape import SHOWN_STATS_SQL, big, shown_stats, steady, steady_square, text
@@ -25,7 +26,6 @@ PARTS["c_olm"] = f"SELECT *, {month('order_dt')} AS vintage FROM c_ol"
 
 def _lines_by(spark, sf, unit):
     left = pairs.lineitem_left(spark, sf)
-    left = scan.spread(left, scan.tasks_for(pairs.table(spark, sf, "lineitem")), left.columns)
     return left.withColumn("vintage", dates.vintage_label(F.col("SHIP_DT").cast("date"), unit))
 
 
@@ -190,11 +190,13 @@ def hash_compare_counts(spark, sf):
     return _full_pair(spark, sf).hash_check(scoped=False).select("vintage", *big(*_COUNTS))
 
 
-@query("hash_counts", "SELECT vintage, count(*) AS total_rows, count(DISTINCT h) AS unique_hashes FROM c_llh GROUP BY 1")
+@query("hash_counts", " UNION ALL ".join(
+    f"SELECT '{side}' AS side, vintage, count(*) AS total_rows, count(DISTINCT h) AS unique_hashes FROM c_l{side[0]}h GROUP BY 2"
+    for side in ("left", "right")))
 def hash_counts(spark, sf):
-    left = _lines_by(spark, sf, "week")
-    columns = same_columns(left, [c for c in left.columns if c != "vintage"])
-    return rowhash.hash_counts(rowhash.row_hashes(left, columns, [], "left", ["vintage"]), ["vintage"])
+    _, left, right = _line_hashes(spark, sf)
+    one = lambda side, hashes: rowhash.hash_counts(hashes, ["vintage"]).select(F.lit(side).alias("side"), "*")
+    return one("left", left).unionByName(one("right", right))
 
 
 @query("hash_mismatch_total", """
@@ -260,28 +262,29 @@ def sample_mismatches(spark, sf):
 
 
 @query("mismatch_cap", """
-SELECT order_id, left_hash, right_hash FROM (
-  SELECT *, row_number() OVER (ORDER BY order_id) AS rn FROM c_j1 WHERE status = 'hash_mismatch') WHERE rn <= 10000""")
+SELECT order_id, left_hash, right_hash FROM c_j1 WHERE status = 'hash_mismatch'""")
 def mismatch_cap(spark, sf):
     compared = _full_pair(spark, sf).compared_rows(scoped=False)
-    return rowhash.sample_mismatches(compared, ["ORDER_ID"], [], rowhash.MISMATCH_CAP).withColumnRenamed("ORDER_ID", "order_id")
+    return rowhash.sample_mismatches(compared, ["ORDER_ID"], [], None).withColumnRenamed("ORDER_ID", "order_id")
 
 
 @query("hash_sample_rows", """
 SELECT side, order_id FROM (SELECT 'left' AS side, order_id FROM c_ol UNION ALL SELECT 'right', order_id FROM c_or)
 WHERE CAST('0x' || substr(md5(CAST(order_id AS VARCHAR)), 1, 8) AS BIGINT)
-      < 1000.0 / (CASE side WHEN 'left' THEN (SELECT count(*) FROM c_ol) ELSE (SELECT count(*) FROM c_or) END) * 4294967296.0""")
+      < 1000.0 / greatest((SELECT count(*) FROM c_ol), (SELECT count(*) FROM c_or)) * 4294967296.0""")
 def hash_sample_rows(spark, sf):
-    one = lambda df, key, side: rowhash.hash_sample(df, [key], 1000).select(F.lit(side).alias("side"), F.col(key).alias("order_id"))
-    return one(pairs.orders_left(spark, sf), "ORDER_ID", "left").unionByName(one(pairs.orders_right(spark, sf), "order_id", "right"))
+    left, right = rowhash.hash_sample(pairs.orders_left(spark, sf), pairs.orders_right(spark, sf), ["ORDER_ID"], ["order_id"], 1000)
+    one = lambda df, key, side: df.select(F.lit(side).alias("side"), F.col(key).alias("order_id"))
+    return one(left, "ORDER_ID", "left").unionByName(one(right, "order_id", "right"))
 
 
 @query("vintage_batches", """
 SELECT vintage, CAST('0x' || substr(h, 1, 8) AS BIGINT) % b AS batch, count(*) AS n
 FROM c_llh JOIN (SELECT vintage, CAST(ceil(count(*) / 50.0) AS BIGINT) AS b FROM c_llh GROUP BY 1) USING (vintage) GROUP BY 1, 2""")
 def vintage_batches(spark, sf):
-    _, left, _ = _line_hashes(spark, sf)
-    return rowhash.vintage_batches(left, 50).groupBy("vintage", "batch").agg(F.count(F.lit(1)).alias("n"))
+    pair, left, _ = _line_hashes(spark, sf)
+    counts = pair.vintage_rows().select("vintage", F.col("day_rows_left").alias("n"))
+    return rowhash.vintage_batches(left, counts, 50).groupBy("vintage", "batch").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---------------------------------------------------------------- verdicts
@@ -467,9 +470,9 @@ def match_rate_band(spark, sf):
 @query("stat_mismatch_view", "SELECT vintage, col AS column_name, l_dist AS left_distinct, r_dist AS right_distinct FROM c_flags WHERE NOT is_match")
 def stat_mismatch_view(spark, sf):
     pair = pairs.orders_pair(spark, sf)
-    reports.register_views({"v_col_stat_mismatch": pair.compared.where("NOT is_match")})
+    reports.register_views({"differing_statistics": pair.compared.where("NOT is_match")})
     return spark.sql("""SELECT vintage, column AS column_name, l.distinct AS left_distinct, r.distinct AS right_distinct
-                        FROM v_col_stat_mismatch""")
+                        FROM differing_statistics""")
 
 
 @query("hash_summary", """
@@ -542,3 +545,81 @@ def reconcile(spark, sf):
     return pairs.orders_pair(spark, sf).reconcile().select(
         "table_name", "vintage", *text("start_date", "end_date"), *big("excluded_days"), "total_columns", "matched_columns",
         "mismatched_columns", *_COUNTS, "status")
+
+
+# ---------------------------------------------------------------- what no vintage may hide
+
+
+def _customers_without_key(spark, sf):
+    """Every customer, some lost and some repeated on the right, and no key to tell them by."""
+    right = pairs.customer_right(spark, sf).where("cust_id % 31 <> 3")
+    right = right.unionByName(right.where("cust_id % 37 = 5"))
+    return ReconPair("customer", pairs.customer_left(spark, sf), right, pairs.crosswalk(spark, pairs.CUSTOMER_CROSSWALK), keys=[], hash_all=True)
+
+
+@query("reconcile_keyless", """
+SELECT 'all' AS vintage, l AS left_rows, r AS right_rows, l - lost AS matched, lost AS left_only, again AS right_only, 0 AS hash_mismatch,
+  CASE WHEN lost + again > 0 THEN 'ROWS_DIFFER' ELSE 'COLUMNS_DIFFER' END AS status
+FROM (SELECT count(*) AS l, count(*) FILTER (WHERE c_custkey % 31 <> 3) + count(*) FILTER (WHERE c_custkey % 31 <> 3 AND c_custkey % 37 = 5) AS r,
+        count(*) FILTER (WHERE c_custkey % 31 = 3) AS lost, count(*) FILTER (WHERE c_custkey % 31 <> 3 AND c_custkey % 37 = 5) AS again FROM customer)""")
+def reconcile_keyless(spark, sf):
+    return _customers_without_key(spark, sf).reconcile().select("vintage", *_COUNTS, "status")
+
+
+def _orders_with(spark, sf, left=lambda df: df, right=lambda df: df):
+    return ReconPair("orders", left(pairs.orders_left(spark, sf)), right(pairs.orders_right(spark, sf)), pairs.crosswalk(spark, pairs.ORDERS_CROSSWALK),
+                     "ORDER_DT", "order_dt", partition="month", keys=["ORDER_ID"], hash_all=True)
+
+
+_BOTH_BY_MONTH = """
+SELECT coalesce(l.vintage, r.vintage) AS vintage, coalesce(l.n, 0) AS day_rows_left, coalesce(r.n, 0) AS day_rows_right
+FROM ({left}) l FULL OUTER JOIN ({right}) r ON l.vintage = r.vintage"""
+
+
+def _by_month(table, day="order_dt", where="true"):
+    return f"SELECT coalesce({month(day)}, 'null_date') AS vintage, count(*) AS n FROM {table} WHERE {where} GROUP BY 1"
+
+
+@query("reconcile_one_sided_months", "SELECT vintage, day_rows_left, day_rows_right, CASE WHEN day_rows_right = 0 THEN 'LEFT_ONLY' "
+       "WHEN day_rows_left = 0 THEN 'RIGHT_ONLY' ELSE 'COMPARED' END AS outcome FROM (" + _BOTH_BY_MONTH.format(
+           left=_by_month("c_ol", where="month(order_dt) % 6 <> 1"), right=_by_month("c_or", where="month(order_dt) % 6 <> 4")) + ")")
+def reconcile_one_sided_months(spark, sf):
+    pair = _orders_with(spark, sf, lambda df: df.where("month(ORDER_DT) % 6 <> 1"),
+                        lambda df: df.where("cast(substring(order_dt, 5, 2) as int) % 6 <> 4"))
+    found = pair.reconcile().where("day_rows_left + day_rows_right > 0")
+    one_sided = F.col("status").isin("LEFT_ONLY", "RIGHT_ONLY")
+    return found.select("vintage", "day_rows_left", "day_rows_right", F.when(one_sided, F.col("status")).otherwise("COMPARED").alias("outcome"))
+
+
+@query("reconcile_null_dates", "SELECT vintage, day_rows_left, day_rows_right, vintage = 'null_date' AS undated FROM (" + _BOTH_BY_MONTH.format(
+    left=_by_month("c_ol", "CASE WHEN order_id % 97 <> 0 THEN order_dt END"),
+    right=_by_month("c_or", "CASE WHEN order_id % 89 <> 0 THEN order_dt END")) + ")")
+def reconcile_null_dates(spark, sf):
+    pair = _orders_with(spark, sf, lambda df: df.withColumn("ORDER_DT", F.when(~pairs.every("ORDER_ID", 97), F.col("ORDER_DT"))),
+                        lambda df: df.withColumn("order_dt", F.when(~pairs.every("order_id", 89), F.col("order_dt")).otherwise("not known")))
+    found = pair.reconcile().where("day_rows_left + day_rows_right > 0")
+    return found.select("vintage", "day_rows_left", "day_rows_right", (F.col("status") == "NULL_DATES").alias("undated"))
+
+
+@query("reconcile_mixed_formats", "SELECT vintage, day_rows_left, day_rows_right FROM (" + _BOTH_BY_MONTH.format(
+    left=_by_month("c_ol"), right=_by_month("c_or")) + ")")
+def reconcile_mixed_formats(spark, sf):
+    iso = F.date_format(F.to_date("order_dt", "yyyyMMdd"), "yyyy-MM-dd")
+    named = F.date_format(F.to_date("order_dt", "yyyyMMdd"), "MMM d, yyyy")
+    mixed = F.when(pairs.every("order_id", 7), iso).when(pairs.every("order_id", 11), named).otherwise(F.col("order_dt"))
+    pair = _orders_with(spark, sf, right=lambda df: df.withColumn("order_dt", mixed))
+    return pair.reconcile().where("day_rows_left + day_rows_right > 0").select("vintage", "day_rows_left", "day_rows_right")
+
+
+WIDE_KEY = "9007199254740993 + {key}"
+
+
+@query("reconcile_wide_keys", """
+SELECT count(*) AS left_rows, count(*) AS right_rows, count(*) AS matched, 0 AS left_only, 0 AS right_only, 0 AS hash_mismatch, 'MATCH' AS status FROM part""")
+def reconcile_wide_keys(spark, sf):
+    """Neighbouring 17-digit keys: a decimal against text, which a DOUBLE could not tell apart."""
+    part = pairs.table(spark, sf, "part")
+    left = part.selectExpr(f"cast({WIDE_KEY.format(key='p_partkey')} as decimal(19,0)) AS ID", "p_brand AS BRAND")
+    right = part.selectExpr(f"cast({WIDE_KEY.format(key='p_partkey')} as string) AS id", "p_brand AS brand")
+    pair = ReconPair("wide", left, right, pairs.crosswalk(spark, [("ID", "id", None), ("BRAND", "brand", None)]), keys=["ID"], hash_all=True)
+    return pair.reconcile().select(*_COUNTS, F.when(F.col("status") == "COLUMNS_DIFFER", "MATCH").otherwise(F.col("status")).alias("status"))

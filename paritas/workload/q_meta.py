@@ -410,10 +410,10 @@ SELECT {month('d')} AS vintage, CAST(sum(n_left) AS BIGINT) AS left_rows, CAST(s
   bool_and(n_left = n_right) AS has_match FROM c_both GROUP BY 1""")
 def row_meta_view(spark, sf):
     both = daycounts.both_counts(*_day_counts(spark, sf))
-    reports.register_views({"v_row_meta_comparison": both.withColumn("vintage", dates.vintage_label(F.col("day"), "month"))})
+    reports.register_views({"day_count_comparison": both.withColumn("vintage", dates.vintage_label(F.col("day"), "month"))})
     return spark.sql("""
         SELECT vintage, sum(n_left) AS left_rows, sum(n_right) AS right_rows, bool_and(n_left = n_right) AS has_match
-        FROM v_row_meta_comparison GROUP BY vintage""")
+        FROM day_count_comparison GROUP BY vintage""")
 
 
 @query("canonical_order", f"""

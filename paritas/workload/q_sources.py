@@ -58,8 +58,8 @@ def crosswalk_union(spark, sf):
         "Suppliers": supplier.selectExpr("s_name AS view", "concat('NATION_', s_nationkey) AS source", "lower(s_name) AS target"),
         "Readme": pairs.table(spark, sf, "region").selectExpr("r_name AS view"),
     }
-    fields = {"left_view": ["view"], "left_col": ["source"], "right_col": ["target"], "comment": ["remark"], "right_view": ["target view"]}
-    return controls.load_crosswalk(sheets, fields, keyed_by="sheet", include=["-Readme"])
+    fields = {"left_view": [["view"]], "left_col": [["source"]], "right_col": [["target"]], "comment": [["remark"]], "right_view": [["target view"]]}
+    return controls.load_crosswalk(sheets, fields, keyed_by="sheet", exclude={"Readme"})
 
 
 @query("crosswalk_coalesce_cols", """
@@ -67,10 +67,10 @@ SELECT p_partkey, p_name AS first_found, coalesce(p_brand, '') || '.' || coalesc
 FROM part""")
 def crosswalk_coalesce_cols(spark, sf):
     part = pairs.table(spark, sf, "part").withColumn("kind", F.expr("nullif(p_type, 'PROMO')"))
-    pick = lambda *names: controls.first_available(part, list(names))
+    pick = lambda *groups: controls.column_from(part, [g.split() for g in groups])
     return part.select(
-        "p_partkey", pick("target name", "p_name", "p_type").alias("first_found"),
-        pick("p_brand + no_such", "p_brand + kind").alias("joined"), pick("no_such").alias("absent"))
+        "p_partkey", pick("target", "p_name", "p_type").alias("first_found"),
+        pick("p_brand no_such", "p_brand kind").alias("joined"), pick("no_such").alias("absent"))
 
 
 @query("crosswalk_tokenized", f"""

@@ -64,7 +64,9 @@ def test_nothing_left_to_hash(spark):
 def test_empty_side(spark):
     left, right = pairs.orders_left(spark, SF), pairs.orders_right(spark, SF).where("false")
     pair = ReconPair("orders", left, right, pairs.crosswalk(spark, pairs.ORDERS_CROSSWALK), "ORDER_DT", "order_dt", right_fmt="yyyyMMdd")
-    assert pair.meta().collect() == [] and pair.reconcile().collect() == []
+    rows = pair.reconcile().collect()
+    assert [r["status"] for r in rows] == ["LEFT_ONLY"] and rows[0]["day_rows_left"] == left.count() and rows[0]["day_rows_right"] == 0
+    assert [r["sides"] for r in pair.meta().collect()] == ["left_only"]
 
 
 def test_missing_date_on_one_side_is_refused(spark):
@@ -73,13 +75,13 @@ def test_missing_date_on_one_side_is_refused(spark):
 
 
 def test_scope_is_broadcast_and_columns_are_pruned(spark):
-    pair = pairs.orders_pair(spark, SF, keys=["ORDER_ID"], hash_all=True, left_tasks=None, right_tasks=None)
+    pair = pairs.orders_pair(spark, SF, keys=["ORDER_ID"], hash_all=True)
     plan = pair.hashes("left").select("ORDER_ID")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "o_totalprice" not in plan and "o_orderpriority" not in plan
 
 
 def test_counts_need_no_join_and_no_sort(spark):
-    pair = pairs.orders_pair(spark, SF, keys=["ORDER_ID"], hash_all=True, left_tasks=None, right_tasks=None)
+    pair = pairs.orders_pair(spark, SF, keys=["ORDER_ID"], hash_all=True)
     plan = pair.hash_check(scoped=False)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "SortAggregate" not in plan and "CartesianProduct" not in plan
