@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from paritas.llm.common import fresh, stored, text_of
 from paritas.llm.graph import components
 
-BINS, ROWS = 128, 4
+BINS, ROWS = 216, 6
 WIDTH, PERCENT = 5, 80
 MULTIPLIER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
