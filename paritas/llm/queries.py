@@ -12,6 +12,7 @@ from paritas.llm import (
     exact_dedup,
     language_id,
     line_dedup,
+    lm_scoring,
     mixing,
     near_dedup,
     packing,
@@ -29,6 +30,14 @@ def query(fn):
     return fn
 
 
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_bucket(F.col("doc_id"), 7) == 2
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", (~held_out).alias("learns"))
+    rows = lm_scoring.score(docs, "learns")
+    return rows.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(read(spark, sf_dir, "documents"))
