@@ -6,16 +6,15 @@ A *word* is a maximal run of characters outside ``[\\x20\\x09-\\x0D]``. A docume
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paritas.sources.results import stored
+
+__all__ = ["BLANKS", "bare", "crc_bucket", "fresh", "let", "n_words_of", "read", "squeezed", "stored", "text_of", "words_of"]
+
 BLANKS = "\t\n\x0b\x0c\r "
 BLANK_RUN = r"[\x20\x09-\x0D]+"
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,37 +65,3 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors reach; a local session without one gets a temporary folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="paritas-")
-        spark.sparkContext.setCheckpointDir(base)
-    return base
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it again: the lineage ends there.
-
-    Lost executors then cost a reread. The files go when the program ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_discard, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _discard(spark: SparkSession, path: str) -> None:
-    context = spark.sparkContext
-    if context._jsc is None:
-        return
-    try:
-        target = context._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # the program is ending; whatever is left is scratch
-        pass

@@ -20,9 +20,11 @@ from paritas.llm import (
     token_counts,
 )
 from paritas.llm.common import crc_bucket, read
+from paritas.llm.twins import TWINS
+
+__all__ = ["QUERIES", "TWINS"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-TWINS: dict[str, str] = {}
 
 
 def query(fn):
