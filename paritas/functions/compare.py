@@ -40,13 +40,20 @@ def exact_zero_null(l: Column, r: Column, both_ways: bool = False) -> Column:
     return F.coalesce(same, F.lit(False))
 
 
+def _whole(c: Column) -> Column:
+    """Text of digits alone as an exact number: ids and counts are equal or not, whatever their size."""
+    return F.when(c.rlike(r"^[+-]?[0-9]{1,38}$"), c.try_cast("decimal(38,0)"))
+
+
 def flexible(l: Column, r: Column) -> Column:
     """As dates when both are, else as numbers within tolerance, else as text."""
     l, r = l.cast("string"), r.cast("string")
     dl, dr = dates.parse_strict(l), dates.parse_strict(r)
     nl, nr = l.try_cast("double"), r.try_cast("double")
+    whole_l, whole_r = _whole(l), _whole(r)
     typed = (
         F.when(dl.isNotNull() & dr.isNotNull(), dl == dr)
+        .when(whole_l.isNotNull() & whole_r.isNotNull(), whole_l == whole_r)
         .when(nl.isNotNull() & nr.isNotNull(), close(nl, nr))
         .otherwise(l == r)
     )
@@ -71,9 +78,8 @@ def robust(l: Column, r: Column) -> Column:
 
 
 def freq_list(l: Column, r: Column, item=flexible) -> Column:
-    """Frequency lists ``array<struct<value, n>>`` equal entry by entry."""
-    pairs = F.zip_with(l, r, lambda a, b: F.coalesce(
-        item(a["value"], b["value"]) & item(a["n"].cast("string"), b["n"].cast("string")), F.lit(False)))
+    """Frequency lists ``array<struct<value, n>>`` equal entry by entry; counts of rows have no tolerance."""
+    pairs = F.zip_with(l, r, lambda a, b: F.coalesce(item(a["value"], b["value"]) & (a["n"] == b["n"]), F.lit(False)))
     return _settled(l, r, (F.size(l) == F.size(r)) & F.forall(pairs, lambda x: x))
 
 

@@ -142,10 +142,19 @@ def failed_columns(graded_columns: DataFrame) -> DataFrame:
         F.col("l.distinct").alias("left_distinct"), F.col("r.distinct").alias("right_distinct"))
 
 
-def long_stats(paired: DataFrame, by: list[str]) -> DataFrame:
-    """One row per statistic with both values as text and an equality flag."""
-    shown = [s for s in STRUCT_STATS if s not in ("kind", "sum", "sum_sq")]
-    value = lambda side, s: (compare.freq_text(F.col(f"{side}.freq")) if s == "freq" else F.col(f"{side}.{s}").cast("string"))
+def long_stats(paired: DataFrame, by: list[str], rounded=None) -> DataFrame:
+    """One row per statistic, all ten, with both values as text and an equality flag.
+
+    ``rounded`` maps statistics to functions that shape them before they are printed.
+    """
+    shown, rounded = [s for s in STRUCT_STATS if s != "kind"], rounded or {}
+    plain = lambda c: c
+
+    def value(side: str, s: str) -> Column:
+        if s == "freq":
+            return compare.freq_text(F.col(f"{side}.freq"))
+        return rounded.get(s, plain)(F.col(f"{side}.{s}")).cast("string")
+
     entries = F.array(*[
         F.struct(F.lit(s).alias("stat"), value("l", s).alias("left_value"), value("r", s).alias("right_value"))
         for s in shown

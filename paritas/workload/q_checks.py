@@ -434,17 +434,20 @@ def column_summary(spark, sf):
 
 
 PARTS["c_long"] = """
-SELECT vintage, col, side, stat, value FROM (
-  SELECT vintage, col, 'left' AS side, CAST(cnt AS VARCHAR) AS "count", CAST(dist AS VARCHAR) AS "distinct", mn AS "min", mx AS "max",
-    CAST(missing AS VARCHAR) AS missing, freq FROM c_sl
-  UNION ALL SELECT vintage, col, 'right', CAST(cnt AS VARCHAR), CAST(dist AS VARCHAR), mn, mx, CAST(missing AS VARCHAR), freq FROM c_sr)
-UNPIVOT INCLUDE NULLS (value FOR stat IN ("count", "distinct", "min", "max", missing, freq))"""
-_SHOWN = ["count", "distinct", "min", "max", "missing", "freq"]
+SELECT vintage, col, side, stat, value FROM (""" + " UNION ALL ".join(f"""
+  SELECT vintage, col, '{_s}' AS side, CAST(cnt AS VARCHAR) AS "count", CAST(dist AS VARCHAR) AS "distinct", mn AS "min", mx AS "max",
+    CAST(missing AS VARCHAR) AS missing, freq, CAST(CAST(round(av + 3.7e-6, 4) AS DECIMAL(38,4)) AS VARCHAR) AS "avg",
+    CAST(CAST(round(sd + 3.7e-6, 4) AS DECIMAL(38,4)) AS VARCHAR) AS std, CAST(CAST(round(sm, 2) AS DECIMAL(38,2)) AS VARCHAR) AS "sum",
+    CAST(CAST(CASE WHEN abs(sq) < 1e6 THEN round(sq, 4) ELSE round(sq, -4) END AS DECIMAL(38,4)) AS VARCHAR) AS sum_sq FROM c_s{_s[0]}"""
+    for _s in ("left", "right")) + """)
+UNPIVOT INCLUDE NULLS (value FOR stat IN ("count", "distinct", "min", "max", missing, freq, "avg", std, "sum", sum_sq))"""
+# floats are printed by each engine in its own way, so they are rounded first
+_ROUNDED = {"avg": lambda c: steady(c).cast("decimal(38,4)"), "std": lambda c: steady(c).cast("decimal(38,4)"),
+            "sum": lambda c: F.round(c, 2).cast("decimal(38,2)"), "sum_sq": lambda c: steady_square(c).cast("decimal(38,4)")}
 
 
 def _long(spark, sf):
-    # avg and std are printed by each engine in its own way; cell_diff compares them rounded
-    return quality.long_stats(pairs.orders_pair(spark, sf).compared, ["vintage"]).where(F.col("stat").isin(_SHOWN))
+    return quality.long_stats(pairs.orders_pair(spark, sf).compared, ["vintage"], _ROUNDED)
 
 
 @query("column_details", "SELECT vintage, side, stat, " + ", ".join(

@@ -176,20 +176,26 @@ def daycount_inner(spark, sf):
     return daycounts.common_mismatches(*_day_counts(spark, sf)).select(*text("day"), "n_left", "n_right", "diff")
 
 
+def _with_lost_days(spark, sf):
+    """Day counts of the pair after each side lost whole days of every row: other days on either side."""
+    left, right = pairs.orders_left(spark, sf), pairs.orders_right(spark, sf)
+    right_day = filters.day_column(right, "order_dt", dates.COMPACT)
+    left, right = left.where("NOT dayofyear(ORDER_DT) % 11 = 3"), right.where(~(F.dayofyear(right_day) % 13 == 5))
+    return daycounts.row_counts(left, F.col("ORDER_DT")), daycounts.row_counts(right, right_day)
+
+
 @query("days_left_only", """
-SELECT CAST(d AS VARCHAR) AS day FROM c_dl WHERE d NOT IN (SELECT order_dt FROM c_or WHERE price > 300000)""")
+SELECT CAST(d AS VARCHAR) AS day FROM c_dl WHERE NOT (dayofyear(d) % 11 = 3) AND d NOT IN (SELECT d FROM c_dr WHERE NOT (dayofyear(d) % 13 = 5))""")
 def days_left_only(spark, sf):
-    dear = pairs.orders_right(spark, sf).where("price > 300000")
-    right = daycounts.row_counts(dear, filters.day_column(dear, "order_dt", dates.COMPACT))
-    return daycounts.only_left(_day_counts(spark, sf)[0], right).select(*text("day")).orderBy("day")
+    left, right = _with_lost_days(spark, sf)
+    return daycounts.only_left(left, right).select(*text("day")).orderBy("day")
 
 
 @query("days_right_only", """
-SELECT CAST(d AS VARCHAR) AS day FROM c_dr WHERE d NOT IN (SELECT DISTINCT order_dt FROM c_ol WHERE status <> 'F')""")
+SELECT CAST(d AS VARCHAR) AS day FROM c_dr WHERE NOT (dayofyear(d) % 13 = 5) AND d NOT IN (SELECT d FROM c_dl WHERE NOT (dayofyear(d) % 11 = 3))""")
 def days_right_only(spark, sf):
-    left = pairs.orders_left(spark, sf).where("STATUS <> 'F'")
-    open_days = daycounts.row_counts(left, F.col("ORDER_DT"))
-    return daycounts.only_left(_day_counts(spark, sf)[1], open_days).select(*text("day")).orderBy("day")
+    left, right = _with_lost_days(spark, sf)
+    return daycounts.only_left(right, left).select(*text("day")).orderBy("day")
 
 
 @query("vintage_pair_join", """
@@ -229,13 +235,10 @@ def days_intersect(spark, sf):
 
 
 @query("days_except", """
-SELECT 'left' AS side, CAST(order_dt AS VARCHAR) AS day FROM (SELECT order_dt FROM c_ol WHERE status = 'F' EXCEPT SELECT order_dt FROM c_or WHERE price > 300000)
-UNION ALL SELECT 'right', CAST(order_dt AS VARCHAR) FROM (SELECT order_dt FROM c_or WHERE price > 300000 EXCEPT SELECT order_dt FROM c_ol WHERE status = 'F')""")
+SELECT 'left' AS side, CAST(d AS VARCHAR) AS day FROM (SELECT d FROM c_dl WHERE NOT (dayofyear(d) % 11 = 3) EXCEPT SELECT d FROM c_dr WHERE NOT (dayofyear(d) % 13 = 5))
+UNION ALL SELECT 'right', CAST(d AS VARCHAR) FROM (SELECT d FROM c_dr WHERE NOT (dayofyear(d) % 13 = 5) EXCEPT SELECT d FROM c_dl WHERE NOT (dayofyear(d) % 11 = 3))""")
 def days_except(spark, sf):
-    done = pairs.orders_left(spark, sf).where("STATUS = 'F'")
-    dear = pairs.orders_right(spark, sf).where("price > 300000")
-    left = done.select(F.col("ORDER_DT").alias("day"))
-    right = dear.select(filters.day_column(dear, "order_dt", dates.COMPACT).alias("day"))
+    left, right = (counts.select("day") for counts in _with_lost_days(spark, sf))
     one = lambda name, df: df.select(F.lit(name).alias("side"), *text("day"))
     return one("left", left.subtract(right)).unionByName(one("right", right.subtract(left)))
 

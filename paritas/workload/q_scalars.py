@@ -368,7 +368,6 @@ def _freq_lists(spark, sf):
 SELECT vintage, l.f IS NOT DISTINCT FROM r.f AS ok FROM (SELECT vintage, {_LIST} AS f FROM c_freq_l GROUP BY 1) l
 FULL OUTER JOIN (SELECT vintage, {_LIST} AS f FROM c_freq_r GROUP BY 1) r USING (vintage)""")
 def cmp_freq_list(spark, sf):
-    # counts of a month are far below the 1e6 where the relative tolerance would blur them
     return _freq_lists(spark, sf).select("vintage", compare.freq_list(F.col("l"), F.col("r")).alias("ok"))
 
 
