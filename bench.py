@@ -2,7 +2,7 @@
 
 Every query is run once untimed at the same data to warm the JVM, then twice, of which the
 better time counts. The extra fields put the figures into the units the checks are usually quoted in: seconds per
-column for the column check and seconds per million rows for the hash check.
+column for the column check and seconds per million rows of one side for the hash check.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import json
 import os
 import sys
 import time
+from dataclasses import replace
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
@@ -43,12 +44,17 @@ def main() -> None:
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"), "spark.sql.shuffle.partitions": cpus})
     spark.sparkContext.setLogLevel("ERROR")
 
+    def line_pair(**options):
+        # the given file is one row group, hence one task: as its caller, deal the rows out first
+        pair = pairs.lineitem_pair(spark, sf, **options)
+        return replace(pair, left=pair.left.repartition(int(cpus), "ORDER_ID", "LINE_NO"),
+                       right=pair.right.repartition(int(cpus), "order_id", "line_no"))
+
     def line_columns():
-        consume(pairs.lineitem_pair(spark, sf).column_check())
+        consume(line_pair().column_check())
 
     def line_hashes():
-        pair = pairs.lineitem_pair(spark, sf, keys=["ORDER_ID", "LINE_NO"], hash_all=True)
-        consume(pair.hash_check(scoped=False))
+        consume(line_pair(keys=["ORDER_ID", "LINE_NO"], hash_all=True).hash_check(scoped=False))
 
     runs = {name: (lambda f=QUERIES[name]: consume(f(spark, sf))) for name in HEADLINE}
     runs["lineitem_column_check"] = line_columns
@@ -69,7 +75,7 @@ def main() -> None:
     if "lineitem_column_check" in figures:
         out["column_check_sec_per_column"] = round(figures["lineitem_column_check"] / len(pairs.LINEITEM_CROSSWALK), 3)
     if "lineitem_hash_check" in figures:
-        out["hash_check_sec_per_million_rows"] = round(figures["lineitem_hash_check"] * 1e6 / (2 * rows), 3)
+        out["hash_check_sec_per_million_rows"] = round(figures["lineitem_hash_check"] * 1e6 / rows, 3)
     print(json.dumps(out))
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
+from ..plans import Run, pair_of
 from ..plans.estate import meta_summary, open_pairs
-from ..sources import scan
+from ..sources import controls, results, scan
+from ..sources.local import local_rows
 from . import pairs
 from .registry import query
 from .shape import big, text
@@ -95,3 +98,83 @@ def reconcile_undated(spark, sf):
     return out
 
 
+
+
+# ---------------------------------------------------------------- runs from the pair list
+
+
+LISTED = [("crm", "Orders (legacy)", "order_dt", "lake.orders", "ORDER_DT", "month"), ("crm", " customer ", None, "lake.customer", None, None),
+          ("crm", "part", None, "lake.part", None, "all"), ("crm", "nation", None, "lake.nation", None, ""), ("crm", "gone", None, "lake.gone", None, None)]
+_LIST_SCHEMA = "left_svc string, left_tbl string, left_var string, right_tbl string, right_var string, partition string, enabled string, start_dt string, end_dt string"
+
+
+def _listed_makers(spark, sf):
+    """Pairs as the pair list names them; one names a table that does not exist."""
+    rows = [(*row[:5], row[5] or None, "yes", None, None) for row in LISTED]
+    listed = controls.enabled_pairs(controls.read_pairs(local_rows(spark, rows, _LIST_SCHEMA))).collect()  # as long as the control table
+    mappings = {"orders": pairs.ORDERS_CROSSWALK, "customer": pairs.CUSTOMER_CROSSWALK, "part": pairs.PART_CROSSWALK,
+                "nation": [(c.upper(), c, None) for c in pairs.table(spark, sf, "nation").columns]}
+    crosswalk = None
+    for name, mapping in mappings.items():
+        rows = pairs.crosswalk(spark, mapping).withColumn("col_map", F.lit(name))
+        crosswalk = rows if crosswalk is None else crosswalk.unionByName(rows)
+    sides = {"orders": (pairs.orders_left, pairs.orders_right), "customer": (pairs.customer_left, pairs.customer_right),
+             "part": (pairs.part_left, pairs.part_right), "nation": (lambda *a: pairs.nation_pair(*a).left, lambda *a: pairs.nation_pair(*a).right)}
+
+    def opener(side):
+        def open_(name):
+            table = name.split(".")[-1]
+            return sides[table][side](spark, sf) if table in sides else spark.read.parquet(f"{sf}/{table}.parquet")
+        return open_
+
+    return {row["right_tbl"].split(".")[-1]: (lambda row=row: pair_of(row, opener(0), opener(1), crosswalk)) for row in listed}
+
+
+def _run(spark, sf, *stages):
+    makers = _listed_makers(spark, sf)
+    run = Run(spark, results.scratch(spark, "runs"), "nightly")
+    return run, makers, run.carry_out(makers, stages)
+
+
+_FAILED = "SELECT 'gone' AS table_name, 'FAILED' AS status, {nulls}"
+_SIZES = {"orders": ("c_ol", "c_or"), "customer": ("customer",) * 2, "part": ("part",) * 2, "nation": ("nation",) * 2}
+
+
+@query("run_meta", " UNION ALL ".join([
+    *(f"SELECT '{t}' AS table_name, 'DONE' AS status, (SELECT count(*) FROM {l}) AS left_rows, (SELECT count(*) FROM {r}) AS right_rows"
+      for t, (l, r) in _SIZES.items()), _FAILED.format(nulls="CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)")]))
+def run_meta(spark, sf):
+    run, makers, outcome = _run(spark, sf, "meta_check")
+    rows = run.results("meta_check", makers).groupBy("table_name").agg(F.sum("day_rows_left").alias("left_rows"), F.sum("day_rows_right").alias("right_rows"))
+    return outcome.select("table_name", "status").join(rows, "table_name", "left")
+
+
+@query("run_columns", "SELECT 'orders' AS table_name, 'DONE' AS status, count(*) FILTER (WHERE is_mismatched) AS mismatched FROM c_verdict "
+       "UNION ALL SELECT 'nation', 'DONE', 0 UNION ALL SELECT 'gone', 'FAILED', NULL")
+def run_columns(spark, sf):
+    makers = _listed_makers(spark, sf)
+    run = Run(spark, results.scratch(spark, "runs"), "nightly")
+    outcome = run.carry_out(makers, ["column_check"], only={"orders", "nation", "gone"})
+    rows = run.results("column_check", makers).groupBy("table_name").agg(F.count_if("is_mismatched").alias("mismatched"))
+    return outcome.select("table_name", "status").join(rows, "table_name", "left")
+
+
+@query("run_hashes", "SELECT 'orders' AS table_name, 'DONE' AS status, CAST(sum(matched) AS BIGINT) AS matched FROM c_p3c "
+       "UNION ALL SELECT 'nation', 'DONE', count(*) FROM nation UNION ALL SELECT 'gone', 'FAILED', NULL")
+def run_hashes(spark, sf):
+    makers = _listed_makers(spark, sf)
+    run = Run(spark, results.scratch(spark, "runs"), "nightly")
+    outcome = run.carry_out(makers, ["hash_check"], only={"orders", "nation", "gone"})
+    rows = run.results("hash_check", makers).groupBy("table_name").agg(F.sum("matched").cast("bigint").alias("matched"))
+    return outcome.select("table_name", "status").join(rows, "table_name", "left")
+
+
+@query("run_resume", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{a}' AS first_run, '{b}' AS second_run, {n} AS left_rows" for t, a, b, n in [
+        *((t, "DONE", "RESUMED", f"(SELECT count(*) FROM {l})") for t, (l, _) in _SIZES.items()), ("gone", "FAILED", "FAILED", "NULL")]))
+def run_resume(spark, sf):
+    run, makers, first = _run(spark, sf, "meta_check")
+    second = run.carry_out(makers, ["meta_check"])
+    rows = run.results("meta_check", makers).groupBy("table_name").agg(F.sum("day_rows_left").alias("left_rows"))
+    both = first.select("table_name", F.col("status").alias("first_run")).join(second.select("table_name", F.col("status").alias("second_run")), "table_name")
+    return both.join(rows, "table_name", "left")
