@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import dates
 from ..operators import crosswalk as cw, daycounts, filters, profile, quality, reports, rowhash
@@ -34,7 +34,8 @@ NULL_DATES, NO_COLUMNS, NOT_HASHED = "NULL_DATES", "NO_COMPARABLE_COLUMNS", "NOT
 class ReconPair:
     """Two tables that should hold the same data.
 
-    ``crosswalk`` has left_col, right_col, is_tokenized and optionally col_map and ord.
+    ``crosswalk`` has left_col, right_col, is_tokenized and optionally col_map and ord; with a col_map only the rows
+    of ``col_map``, or else of ``name``, count.
     Date columns may be dates, timestamps or text; the most frequent format of a text date is found
     by profiling the column unless it is given, and text in another notation is read as what it is.
 
@@ -114,10 +115,11 @@ class ReconPair:
     @cached_property
     def _crosswalk(self) -> DataFrame:
         rows = self.crosswalk
-        if self.col_map is not None and "col_map" in rows.columns:
-            rows = rows.where(F.lower("col_map") == self.col_map.lower())
+        if "col_map" in rows.columns:
+            rows = rows.where(F.lower("col_map") == (self.col_map or self.name).lower())
         rows = rows.withColumn("col_map", F.lit(self.name.lower()))
-        rows = rows if "ord" in rows.columns else rows.withColumn("ord", F.monotonically_increasing_id())
+        if "ord" not in rows.columns:  # the values decide which of two rows for a column wins, not how the input was split
+            rows = rows.withColumn("ord", F.row_number().over(Window.orderBy("left_col", "right_col")))
         # one table's share of the crosswalk is schema-sized: one partition spares every exchange
         return rows.coalesce(1)
 

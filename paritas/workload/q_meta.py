@@ -322,6 +322,19 @@ def column_mapping(spark, sf):
     return cw.column_mapping(cw.classify(left, xw, "left"), cw.classify(right, xw, "right"), xw)
 
 
+@query("column_mapping_gaps", """
+SELECT 'left' AS side, col_map, c AS column_name FROM c_classl WHERE class = 'comparable' AND (col_map, c) NOT IN (SELECT (col_map, l) FROM c_mapping)
+UNION ALL SELECT 'right', col_map, c FROM c_classr WHERE class = 'comparable' AND (col_map, c) NOT IN (SELECT (col_map, r) FROM c_mapping)""")
+def column_mapping_gaps(spark, sf):
+    """Comparable columns that the mapping leaves out, on both sides."""
+    left, right, xw = _estate(spark, sf)
+    classes = {"left": cw.classify(left, xw, "left"), "right": cw.classify(right, xw, "right")}
+    mapping = cw.column_mapping(classes["left"], classes["right"], xw)
+    gaps = lambda side: cw.unmapped_comparable(classes[side], mapping, side).select(
+        F.lit(side).alias("side"), "col_map", F.col(f"{side}_col").alias("column_name"))
+    return gaps("left").unionByName(gaps("right"))
+
+
 @query("column_mapping_typed", "SELECT * FROM c_typed")
 def column_mapping_typed(spark, sf):
     return cw.typed_mapping(*_estate(spark, sf))
