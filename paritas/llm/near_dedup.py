@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from paritas.llm.common import fresh, stored, text_of
 from paritas.llm.graph import components
 
-BINS, ROWS = 216, 6
+BINS, ROWS = 128, 4
 WIDTH, PERCENT = 5, 80
+BROADCAST_NODES = 1_000_000
 MULTIPLIER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -168,12 +169,21 @@ def _sets(width: int):
     return run
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """u, v of the ``pairs(u, v)`` whose full sets are similar enough; only the sets of their nodes are rebuilt."""
+def _sets_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """node, n, shingles: the full sets of ``nodes(wanted)``, which are rebuilt from their texts.
+
+    Up to ``BROADCAST_NODES`` ids (8 bytes each) go to where the texts are; more are joined, which moves the texts once.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("wanted")).distinct()
-    sets = stored(docs.join(nodes, F.col("doc_id") == F.col("wanted")).select(F.col("doc_id").alias("node"), text_of(F.col("text")).alias("text"))
-                  .mapInArrow(_sets(width), f"node {kind}, n bigint, shingles array<bigint>").dropDuplicates(["node", "n"]), "sets")
+    nodes = stored(nodes.distinct(), "nodes")
+    if nodes.count() <= BROADCAST_NODES:
+        nodes = F.broadcast(nodes)
+    rows = docs.select(F.col("doc_id").alias("node"), text_of(F.col("text")).alias("text")).join(nodes, F.col("node") == F.col("wanted"))
+    return stored(rows.select("node", "text").mapInArrow(_sets(width), f"node {kind}, n bigint, shingles array<bigint>"), "sets")
+
+
+def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """u, v of the ``pairs(u, v)`` whose full sets are similar enough."""
     left = sets.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("shingles").alias("set_u"))
     right = sets.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("shingles").alias("set_v"))
     near_size = 100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")
@@ -197,8 +207,9 @@ def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bin
     buckets = members.where("doc_id = class_id").select("class_id", F.explode("keys").alias("key"))
     hubs = buckets.groupBy(F.col("key").alias("hub_key")).agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).where("lo < hi")
     shared = stored(buckets.join(hubs, F.col("key") == F.col("hub_key")).drop("hub_key"), "buckets")
-    links = stored(_confirmed(docs, shared.where("class_id > lo").groupBy("class_id").agg(F.min("lo").alias("v"))
-                              .select(F.col("class_id").alias("u"), "v"), width, percent), "links")
+    sets = _sets_of(docs, shared.select(F.col("class_id").alias("wanted")), width)
+    first = shared.where("class_id > lo").groupBy("class_id").agg(F.min("lo").alias("v")).select(F.col("class_id").alias("u"), "v")
+    links = stored(_confirmed(sets, first, percent), "links")
     for turn in range(rounds):
         comps = components(links)
         labelled = shared.join(comps, F.col("class_id") == F.col("node"), "left") \
@@ -212,7 +223,7 @@ def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bin
         offered = offered.join(hub_parts, F.col("other") == F.col("hub"), "left") \
             .where(F.col("part") != F.coalesce("hub_part", "other")) \
             .select(F.greatest("class_id", "other").alias("u"), F.least("class_id", "other").alias("v")).distinct()
-        links = stored(links.unionAll(_confirmed(docs, stored(offered, "offered"), width, percent)), "links")
+        links = stored(links.unionAll(_confirmed(sets, stored(offered, "offered"), percent)), "links")
     comps = components(links)
     return members.join(comps, F.col("class_id") == F.col("node"), "left").select(
         "doc_id", "fp", "n_shingles", F.coalesce("component", "class_id", "doc_id").alias("component_id"))
