@@ -4,10 +4,10 @@ A document's set holds the distinct hashes of its ``width``-word shingles (fewer
 sets are one class, of which only the representative goes on. One hash per shingle splits the set over ``BINS``
 bins; the least value in each bin is its sketch, and an empty bin copies the bin that a fixed hash sequence of
 (bin, attempt) first finds filled. Runs of ``ROWS`` bins are the bands. In each bucket of a band, edges go from
-every member to the bucket's least and greatest representative: pairs stay linear in the rows. Candidates are
-confirmed on the full sets by integer arithmetic. Then components are formed, and a further round
-(``rounds``) offers stars between the components that still share a bucket, so a link that both centres miss is
-not lost.
+every member to the bucket's least representative first: pairs stay linear in the rows. Candidates are confirmed on
+the full sets by integer arithmetic. Then components are formed, and further rounds offer stars around other
+centres (the greatest, and one drawn anew for each bucket) where a bucket still holds several components, so a link
+that one centre misses is found by another. There are at least ``rounds`` of them, and they go on while they find links.
 
 Defined results: null or wordless text has an empty set and links with nothing; null ids link like others (a null component id
 only for a component of nothing but null ids); repeated rows are members of one class; an empty table gives an
@@ -193,7 +193,7 @@ def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: int = BINS, rows: int = ROWS,
-                rounds: int = 2) -> DataFrame:
+                rounds: int = 3) -> DataFrame:
     """doc_id, fp, n_shingles, component_id for every row of ``docs`` (fp tells apart texts under one id)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     banded = docs.select("doc_id", F.xxhash64(text_of(F.col("text"))).alias("fp"), text_of(F.col("text")).alias("text")).mapInArrow(
@@ -208,22 +208,27 @@ def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bin
     hubs = buckets.groupBy(F.col("key").alias("hub_key")).agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).where("lo < hi")
     shared = stored(buckets.join(hubs, F.col("key") == F.col("hub_key")).drop("hub_key"), "buckets")
     sets = _sets_of(docs, shared.select(F.col("class_id").alias("wanted")), width)
-    first = shared.where("class_id > lo").groupBy("class_id").agg(F.min("lo").alias("v")).select(F.col("class_id").alias("u"), "v")
+    first = stored(shared.where("class_id > lo").groupBy("class_id").agg(F.min("lo").alias("v")).select(F.col("class_id").alias("u"), "v"), "offered")
     links = stored(_confirmed(sets, first, percent), "links")
-    for turn in range(rounds):
+    tested, found, turn = first, 1, 0
+    while found or turn < rounds:
         comps = components(links)
         labelled = shared.join(comps, F.col("class_id") == F.col("node"), "left") \
             .withColumn("part", F.coalesce("component", "class_id")).drop("node", "component")
-        draw = F.struct(F.xxhash64("class_id", F.lit(turn)).alias("draw"), F.col("class_id").alias("id"), F.col("part").alias("part"))
+        draw = F.struct(F.xxhash64("class_id", "key", F.lit(turn)).alias("draw"), F.col("class_id").alias("id"))
         hubs = labelled.groupBy(F.col("key").alias("hub_key")).agg(F.min(draw).alias("some"), F.min("part").alias("p"), F.max("part").alias("q")) \
-            .where("p < q").select("hub_key", "some")
+            .where("p < q").select("hub_key", F.col("some.id").alias("some"))
         open_rows = labelled.join(hubs, F.col("key") == F.col("hub_key"))
+        centres = F.array("lo", "hi", "some") if turn == 0 else F.array("some")
+        offered = open_rows.select("class_id", "part", F.explode(centres).alias("other")).where("class_id <> other").distinct()
         hub_parts = comps.select(F.col("node").alias("hub"), F.col("component").alias("hub_part"))
-        offered = open_rows.select("class_id", "part", F.explode(F.array("lo", "hi", "some.id")).alias("other")).where("class_id <> other").distinct()
         offered = offered.join(hub_parts, F.col("other") == F.col("hub"), "left") \
             .where(F.col("part") != F.coalesce("hub_part", "other")) \
             .select(F.greatest("class_id", "other").alias("u"), F.least("class_id", "other").alias("v")).distinct()
-        links = stored(links.unionAll(_confirmed(sets, stored(offered, "offered"), percent)), "links")
+        offered = stored(offered.join(tested, ["u", "v"], "left_anti"), "offered")
+        new = stored(_confirmed(sets, offered, percent), "links")
+        found, turn = new.count(), turn + 1
+        links, tested = links.unionAll(new), tested.unionAll(offered)
     comps = components(links)
     return members.join(comps, F.col("class_id") == F.col("node"), "left").select(
         "doc_id", "fp", "n_shingles", F.coalesce("component", "class_id", "doc_id").alias("component_id"))
