@@ -8,6 +8,8 @@ every member to the bucket's least representative first: pairs stay linear in th
 the full sets by integer arithmetic. Then components are formed, and further rounds offer stars around other
 centres (the greatest, and one drawn anew for each bucket) where a bucket still holds several components, so a link
 that one centre misses is found by another. There are at least ``rounds`` of them, and they go on while they find links.
+What the stars leave is tested exactly: every pair that shares a bucket and still lies in two components is compared on
+the full sets, unless too few of a set's shingles stand in a second component for any link.
 
 Defined results: null or wordless text has an empty set and links with nothing; null ids link like others (a null component id
 only for a component of nothing but null ids); repeated rows are members of one class; an empty table gives an
@@ -29,6 +31,7 @@ from paritas.llm.graph import components
 BINS, ROWS = 128, 4
 WIDTH, PERCENT = 5, 80
 BROADCAST_NODES = 1_000_000
+SAMPLED, CELL = (4, 1), 1_000_000
 MULTIPLIER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -192,6 +195,84 @@ def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * shared >= percent * (F.col("n_u") + F.col("n_v") - shared)).select("u", "v").distinct()
 
 
+def _may_link(sets: DataFrame, percent: int, one_in: int) -> DataFrame:
+    """Those of ``sets(node, n, shingles, part)`` that can link to another component; one shingle in ``one_in`` is looked at.
+
+    A linked set has at most (100 - percent)% shingles that its partner lacks, so no more that stand in its own component alone.
+    """
+    rows = sets.withColumns({"set_id": F.xxhash64("shingles"), "drawn": F.filter("shingles", lambda x: F.pmod(x, F.lit(one_in)) == 0)})
+    each = rows.select("node", "set_id", "part", F.explode("drawn").alias("shingle"))
+    met = each.groupBy(F.col("shingle").alias("met")).agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("met")
+    counts = each.join(met, F.col("shingle") == F.col("met")).groupBy(F.col("node").alias("met_node"), F.col("set_id").alias("met_id")) \
+        .agg(F.count("*").alias("n_met"))
+    alone = F.size("drawn") - F.coalesce("n_met", F.lit(0))
+    return rows.join(counts, (F.col("node") == F.col("met_node")) & (F.col("set_id") == F.col("met_id")), "left") \
+        .where(100 * alone <= (100 - percent) * F.col("n")).select(*sets.columns)
+
+
+def _compared(percent: int):
+    """The sets of one cell -> u, v: links between its ``rows`` and ``columns``, one for each two components they join."""
+
+    def run(pdf):
+        import pandas as pd
+
+        sizes, lists = pdf["n"].to_numpy(), pdf["shingles"].to_list()
+        starts = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+        _, local = np.unique(np.concatenate(lists), return_inverse=True)
+        holders = np.repeat(np.arange(len(sizes)), np.diff(starts))[np.argsort(local, kind="stable")]
+        ends = np.cumsum(np.bincount(local))
+        lengths = np.diff(ends, prepend=0)
+        part, columns, nodes = pd.factorize(pdf["part"])[0], pdf["is_column"].to_numpy(), pdf["node"].to_list()
+        found = []
+        for x in np.flatnonzero(pdf["is_row"].to_numpy()):
+            own = local[starts[x]:starts[x + 1]]
+            until = np.cumsum(lengths[own])
+            places = np.arange(until[-1]) + np.repeat(ends[own] - until, lengths[own])
+            shared = np.bincount(holders[places], minlength=len(sizes))
+            hits = np.flatnonzero(columns & (part != part[x]) & (100 * shared >= percent * (sizes[x] + sizes - shared)))
+            joined, at = np.unique(part[hits], return_index=True)
+            found += [(nodes[x], nodes[y]) for y in hits[at]]
+            part[np.isin(part, joined)] = part[x]
+        return pd.DataFrame({"u": [max(f) for f in found], "v": [min(f) for f in found]})
+    return run
+
+
+def _exact_links(shared: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> DataFrame | None:
+    """Links between the components of ``links`` from all pairs in the ``shared`` buckets; None where no set can have one.
+
+    Sets whose buckets are connected form a cluster, its largest component apart from the others. Clusters are cut into
+    blocks of about ``CELL`` shingles; a cell compares two blocks, of which at most one is of the largest component.
+    """
+    kind = sets.schema["node"].dataType.simpleString()
+    labelled = shared.join(components(links), F.col("class_id") == F.col("node"), "left").select("class_id", "key", F.coalesce("component", "class_id").alias("part"))
+    several = lambda rows: rows.groupBy(F.col("key").alias("hub_key")).agg(F.min("class_id").alias("lo"), F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
+    open_rows = stored(labelled.join(several(labelled).select("hub_key"), F.col("key") == F.col("hub_key")).drop("hub_key"), "open")
+    parts = open_rows.select(F.col("class_id").alias("wanted"), "part").distinct()
+    left = sets.join(parts, F.col("node") == F.col("wanted")).drop("wanted")
+    for one_in in SAMPLED:
+        left = stored(_may_link(left, percent, one_in), "may-link")
+    if left.isEmpty():
+        return None
+    open_rows = open_rows.join(left.select("node"), F.col("class_id") == F.col("node"), "left_semi")
+    edges = open_rows.join(several(open_rows).select("hub_key", "lo"), F.col("key") == F.col("hub_key")).select(F.col("class_id").alias("u"), F.col("lo").alias("v"))
+    clusters = components(edges).withColumnRenamed("node", "member")
+    left = left.join(clusters, F.col("node") == F.col("member"), "left").withColumn("cluster", F.coalesce("component", "node")).drop("member", "component")
+    sizes = left.groupBy(F.col("cluster").alias("of"), F.col("part").alias("of_part")).agg(F.sum("n").alias("held"))
+    sizes = sizes.groupBy("of").agg(F.max(F.struct("held", "of_part")).alias("most"), F.sum("held").alias("held"), F.count("*").alias("n_parts")).where("n_parts > 1")
+    blocks = lambda held: F.ceil(held / CELL).cast("int")
+    sizes = sizes.select("of", F.col("most.of_part").alias("main"), blocks(F.col("most.held")).alias("n_main"), blocks(F.col("held") - F.col("most.held")).alias("n_rest"))
+    left = left.join(sizes, F.col("cluster") == F.col("of")).withColumn("is_main", F.col("part") == F.col("main"))
+    left = left.withColumn("block", F.pmod(F.xxhash64("node", "n"), F.when(F.col("is_main"), F.col("n_main")).otherwise(F.col("n_rest"))).cast("int"))
+    cell = lambda i, j, with_main, is_row, is_column: F.struct(i.alias("i"), j.alias("j"), F.lit(with_main).alias("with_main"), is_row.alias("is_row"), is_column.alias("is_column"))
+    up_to, own, yes = lambda n: F.sequence(F.lit(0), F.col(n) - 1), F.col("block"), F.lit(True)
+    of_main = F.transform(up_to("n_rest"), lambda k: cell(k, own, True, ~yes, yes))
+    of_rest = F.concat(F.transform(up_to("n_rest"), lambda k: cell(F.least(own, k), F.greatest(own, k), False, own <= k, own >= k)),
+                       F.transform(up_to("n_main"), lambda k: cell(own, k, True, yes, ~yes)))
+    cells = left.select("node", "n", "shingles", "part", "cluster", F.explode(F.when(F.col("is_main"), of_main).otherwise(of_rest)).alias("cell")) \
+        .select("node", "n", "shingles", "part", "cluster", "cell.*")
+    return stored(cells.groupBy("cluster", "i", "j", "with_main").applyInPandas(_compared(percent), f"u {kind}, v {kind}"), "links")
+
+
 def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: int = BINS, rows: int = ROWS,
                 rounds: int = 3) -> DataFrame:
     """doc_id, fp, n_shingles, component_id for every row of ``docs`` (fp tells apart texts under one id)."""
@@ -229,6 +310,8 @@ def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bin
         new = stored(_confirmed(sets, offered, percent), "links")
         found, turn = new.count(), turn + 1
         links, tested = links.unionAll(new), tested.unionAll(offered)
+    exact = _exact_links(shared, sets, links, percent)
+    links = links if exact is None else links.unionAll(exact)
     comps = components(links)
     return members.join(comps, F.col("class_id") == F.col("node"), "left").select(
         "doc_id", "fp", "n_shingles", F.coalesce("component", "class_id", "doc_id").alias("component_id"))

@@ -320,6 +320,22 @@ def test_near_groups_of_planted_copies(spark):
     assert got == plain_groups(docs, 4, 80)
 
 
+def test_near_groups_of_a_large_family(spark, monkeypatch):
+    """Most pairs of the family are just not similar enough, so the few links meet in buckets with hundreds of others."""
+    monkeypatch.setattr(near_dedup, "CELL", 20_000, raising=False)
+    rng = random.Random(7)
+    base, docs = [f"w{i}" for i in range(300)], []
+    for i in range(400):
+        text = list(base)
+        for _ in range(rng.randint(6, 9)):
+            text[rng.randrange(len(text))] = f"changed{rng.randint(0, 10 ** 9)}"
+        docs.append((i, " ".join(text)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    want = plain_groups(docs, 4, 80)
+    assert 5 < sum(i != c for i, c in want.items()) < 300
+    assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(df, width=4).collect()} == want
+
+
 def test_near_odd_rows(odd, nothing):
     rows = near_dedup.near_groups(odd).collect()
     by_id = defaultdict(set)
