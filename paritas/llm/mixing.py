@@ -8,7 +8,7 @@ drawn from id and text by md5, and taken in that order as long as they fit into
 the sample's size in words, and reruns agree.
 
 Nothing sorts a whole source in one task: ranks fall into ``BINS`` bins, whose words are summed before the
-shuffle; only documents of the one bin in which the target is met are put in order.
+shuffle; documents are put in order within their bin, and those that cannot be drawn pass by unsorted.
 
 Defined results: null text has size 0 and a document of size 0 is taken by its certain copies alone; null sources
 are one source, ordered last; rows equal in id, text and source are drawn together; an empty table gives an empty
@@ -93,14 +93,15 @@ def _take(rows: DataFrame) -> DataFrame:
     open_rows = rows.join(gaps, F.col("unit_source").eqNullSafe(F.col("gap_source"))).drop("gap_source")
     fits = F.col("place").isNotNull() & (F.col("extra") == 0) & (F.col("words") > 0) & (F.col("words") <= F.col("gap"))
     open_rows = open_rows.withColumn("fit", F.when(fits, F.col("words")))
+    idle, open_rows = open_rows.where(F.col("fit").isNull()).select(*rows.columns), open_rows.where(F.col("fit").isNotNull())
     bins = open_rows.groupBy(F.col("unit_source").alias("bin_source"), F.col("bin").alias("bin_no")).agg(F.sum("fit").alias("bin_words"))
     earlier = W.partitionBy("bin_source").orderBy("bin_no").rowsBetween(W.unboundedPreceding, -1)
     bins = bins.withColumn("before", F.coalesce(F.sum("bin_words").over(earlier), F.lit(0))).drop("bin_words")
     within = W.partitionBy("unit_source", "bin").orderBy("place", "unit_fp", "unit_id").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = open_rows.withColumn("within", F.sum("fit").over(within)).join(
         bins, F.col("unit_source").eqNullSafe(F.col("bin_source")) & F.col("bin").eqNullSafe(F.col("bin_no")))
-    now = F.col("fit").isNotNull() & (F.col("before") + F.col("within") <= F.col("gap"))
-    return ranked.withColumn("extra", F.when(now, 1).otherwise(F.col("extra"))).select(*rows.columns)
+    now = F.col("before") + F.col("within") <= F.col("gap")
+    return ranked.withColumn("extra", F.when(now, 1).otherwise(F.col("extra"))).select(*rows.columns).unionAll(idle)
 
 
 def joined(docs: DataFrame, units: DataFrame, *wanted: str) -> tuple[DataFrame, list[str]]:

@@ -135,6 +135,17 @@ def test_unequal_inclusion(spark):
     assert sum(u["copies"] * u["size"] for u in units if u["unit_source"] == "a") == pytest.approx(8000 / 3, abs=10)
 
 
+def test_rows_that_cannot_be_drawn_are_not_sorted_in_one_task(spark):
+    rows = spark.createDataFrame([(i, f"{i}", "a", 5, 5, 0.0, 1, 0, None, None, 10_000.0) for i in range(2000)],
+                                 "unit_id long, unit_fp string, unit_source string, size int, words int, odds double, certain long, extra int, place double, bin int, target double")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = Counter(r[0] for r in mixing._take(rows.repartition(4)).select(F.spark_partition_id()).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(parts.values()) == 2000 and max(parts.values()) < 1000
+
+
 # ---------------------------------------------------------------- language identification
 
 
