@@ -5,8 +5,8 @@ lower-cased as they are, is compressed with every dictionary, and the language o
 share of its size, is the score, and a narrow one rejects the answer (``rejected``). Long texts are compressed in
 blocks, each starting from the dictionary, so every part of a text counts and memory stays bounded.
 
-Bounds of the sample, per language: ``SAMPLE_ROWS`` texts of at most ``SAMPLE_CHARS`` characters, those with the smallest text
-hash, up to ``DICT_BYTES`` bytes. Everything else covers all rows.
+Bounds of the sample, per language: ``SAMPLE_ROWS`` different texts, those with the smallest text hash, up to ``DICT_BYTES`` bytes. A
+text of more than ``SAMPLE_CHARS`` characters gives so many of them, from its first letter on. Everything else covers all rows.
 
 Defined results: ``und``, score 0, rejected, for null texts, texts without a letter, and where nothing was learned; with one language
 learned the score is 0; ties go to the smaller language name; an empty table gives an empty result.
@@ -28,11 +28,14 @@ UNKNOWN = "und"
 
 def dictionaries(labelled: DataFrame) -> dict[str, bytes]:
     """Language -> dictionary content, from ``labelled(lang, text)``; the bounded sample is all that reaches the driver."""
-    order = W.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    fit = labelled.where(F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike(r"\p{L}"))
-    sample = fit.select("lang", "text").withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_ROWS)
+    start = F.when(F.length("text") > SAMPLE_CHARS, F.regexp_replace("text", r"^\P{L}+", "")).otherwise(F.col("text"))
+    pieces = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", F.substring(start, 1, SAMPLE_CHARS).alias("text"))
+    pieces = pieces.withColumn("fp", F.xxhash64("text"))
+    places = pieces.select("lang", "fp").distinct().withColumn("place", F.row_number().over(W.partitionBy("lang").orderBy("fp")))
+    chosen = F.broadcast(places.where(F.col("place") <= SAMPLE_ROWS))  # numbers only; texts are not moved
+    sample = pieces.join(chosen, ["lang", "fp"]).select("lang", "place", "text").distinct()
     content: dict[str, dict[str, None]] = {}
-    for row in sample.orderBy("lang", "place").collect():
+    for row in sample.orderBy("lang", "place", "text").collect():
         content.setdefault(row["lang"], {})[row["text"]] = None
     return {lang: "\n".join(texts).lower().encode()[:DICT_BYTES] for lang, texts in content.items()}
 

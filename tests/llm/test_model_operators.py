@@ -169,6 +169,18 @@ def test_language_odd_rows(spark, odd, nothing):
     assert language_id.predict(nothing.select("doc_id", "text"), content).count() == 0
 
 
+def test_language_samples_of_many_copies_and_of_long_texts(spark):
+    texts = [f"word{i} and some more text of its own {i * i}" for i in range(40)]
+    order = spark.createDataFrame([(t,) for t in texts], "text string").orderBy(F.xxhash64("text")).collect()
+    rows = [("copied", order[0]["text"])] * 200 + [("copied", r["text"]) for r in order]
+    long = " 12 " * 10 + "donde estaba la casa grande " * 1000
+    rows += [("long", long), ("none", None), (None, "unlabelled"), ("digits", "1 2 3")]
+    content = language_id.dictionaries(spark.createDataFrame(rows, "lang string, text string").repartition(3))
+    assert set(content) == {"copied", "long"}
+    assert Counter(content["copied"].decode().split("\n")) == Counter(texts)
+    assert content["long"].decode() == long.lstrip(" 12")[:language_id.SAMPLE_CHARS]
+
+
 # ---------------------------------------------------------------- packing
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
