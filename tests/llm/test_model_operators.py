@@ -140,7 +140,7 @@ def test_rows_that_cannot_be_drawn_are_not_sorted_in_one_task(spark):
                                  "unit_id long, unit_fp string, unit_source string, size int, words int, odds double, certain long, extra int, place double, bin int, target double")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        parts = Counter(r[0] for r in mixing._take(rows.repartition(4)).select(F.spark_partition_id()).collect())
+        parts = Counter(r[0] for r in mixing._take(rows.repartition(4)).select(F.spark_partition_id(), "extra").collect())
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sum(parts.values()) == 2000 and max(parts.values()) < 1000
@@ -350,12 +350,12 @@ def test_near_groups_of_a_large_family(spark, monkeypatch):
     base, docs = [f"w{i}" for i in range(300)], []
     for i in range(400):
         text = list(base)
-        for _ in range(rng.randint(6, 9)):
+        for _ in range(rng.randint(5, 8)):
             text[rng.randrange(len(text))] = f"changed{rng.randint(0, 10 ** 9)}"
         docs.append((i, " ".join(text)))
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     want = plain_groups(docs, 4, 80)
-    assert 5 < sum(i != c for i, c in want.items()) < 300
+    assert 5 < sum(i != c for i, c in want.items()) < 390
     assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(df, width=4).collect()} == want
 
 
