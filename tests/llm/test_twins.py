@@ -26,7 +26,7 @@ def test_query_equals_twin(spark, con, key):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_is_its_operators_in_order(spark, documents):
