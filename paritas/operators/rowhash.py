@@ -19,12 +19,13 @@ MATCHED, MISMATCH, LEFT_ONLY, RIGHT_ONLY = "matched", "hash_mismatch", "left_onl
 
 
 def row_hashes(df: DataFrame, pairs: list[ColumnPair], keys: list[ColumnPair], side: str,
-               by: list[str]) -> DataFrame:
-    """``(by..., key..., hash_value)`` with the SHA-256 of the normalised columns."""
+               by: list[str], *more: Column) -> DataFrame:
+    """``(by..., key..., hash_value, more...)`` with the SHA-256 of the normalised columns."""
     return df.select(
         *by,
         *[k.key(df, side).alias(k.name) for k in keys],
         hashing.row_sha256([p.normal(df, side) for p in pairs]).alias("hash_value"),
+        *more,
     )
 
 

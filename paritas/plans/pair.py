@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import dates
-from ..operators import crosswalk as cw, daycounts, filters, profile, quality, reports, rowhash
+from ..operators import crosswalk as cw, daycounts, digest_tree, filters, intervals, profile, quality, reports, rowhash
 from ..operators.columns import LEFT, RIGHT, ColumnPair, pair_columns
 from ..sources import catalog
 from ..sources.local import local_rows
@@ -39,6 +39,9 @@ class ReconPair:
     Date columns may be dates, timestamps or text; the most frequent format of a text date is found
     by profiling the column unless it is given, and text in another notation is read as what it is.
 
+    ``vintage_windows(vintage, start_date, end_date)`` gives the vintages in place of ``partition``; windows may overlap, and a
+    row counts in each that holds its day. Rows outside of all of them take part in none.
+
     ``base`` is the folder on shared storage for what passes between the stages; the session's own if None.
     """
 
@@ -61,12 +64,15 @@ class ReconPair:
     keys: list[str] | None = None
     hash_all: bool = False
     base: str | None = None
+    vintage_windows: DataFrame | None = None
     rules: dict = field(default_factory=lambda: dict(quality.STAT_RULES))
 
     def __post_init__(self) -> None:
         self.unit = dates.partition_unit(self.partition)
         if (self.left_date is None) != (self.right_date is None):
             raise ValueError("give a date column on both sides or on none")
+        if self.vintage_windows is not None and self.left_date is None:
+            raise ValueError("windows need date columns")
         for side in (LEFT, RIGHT):
             _, column, fmt = self._date(side)
             if column and fmt is None and filters.is_text(self._table(side), column):
@@ -159,9 +165,19 @@ class ReconPair:
             right = daycounts.total_rows(self.rows(RIGHT)).select(nothing, "n")
         return stored(daycounts.both_counts(left, right), f"{self.name}-days", self.base)
 
+    @cached_property
+    def day_labels(self) -> DataFrame:
+        """``(day, vintage)`` of all days, several vintages for a day of overlapping windows; bounded by the calendar."""
+        if self.vintage_windows is None:
+            dated = self.day_counts.where("day IS NOT NULL")
+            return dated.select("day", dates.vintage_label(F.col("day"), self.unit).alias("vintage"))
+        return stored(intervals.labels_of_days(self.day_counts, self.vintage_windows), f"{self.name}-labels", self.base)
+
     @cached_property
     def scope(self) -> DataFrame:
-        return daycounts.scope_days(self.day_counts, self.unit)
+        if self.vintage_windows is None:
+            return daycounts.scope_days(self.day_counts, self.unit)
+        return self.day_counts.where("n_left = n_right").join(self.day_labels, "day").select("day", "vintage")
 
     def windows(self, side: str) -> DataFrame:
         mine = self.day_counts.where(F.col(f"n_{side}") > 0)
@@ -180,12 +196,21 @@ class ReconPair:
         undated = self.day_counts.where("day IS NULL").select(
             F.lit(daycounts.NULL_DATE).alias("vintage"), F.lit("undated").alias("sides"), none.alias("start_date"),
             none.alias("end_date"), F.lit(0).cast("bigint").alias("excluded_days"))
+        if self.vintage_windows is not None:
+            sides = F.when(F.col("day_rows_left") == 0, "right_only").when(F.col("day_rows_right") == 0, "left_only").otherwise("both")
+            counted = intervals.window_counts(self.day_counts, self.day_labels, self.vintage_windows)
+            return counted.select("vintage", sides.alias("sides"), "start_date", "end_date", "excluded_days").unionByName(undated)
         return daycounts.all_windows(self.windows(LEFT), self.windows(RIGHT), self.day_counts, self.unit).unionByName(undated)
 
     def vintage_rows(self) -> DataFrame:
         """``(vintage, day_rows_left, day_rows_right)``: all rows of a vintage, compared or not, from the day counts."""
-        label = F.coalesce(dates.vintage_label(F.col("day"), self.unit), F.lit(daycounts.NULL_DATE)) if self.dated else F.lit(ALL)
-        return self.day_counts.groupBy(label.alias("vintage")).agg(
+        counts = self.day_counts
+        if self.vintage_windows is not None:
+            undated = counts.where("day IS NULL").withColumn("label", F.lit(daycounts.NULL_DATE))
+            counts, label = counts.join(self.day_labels.withColumnRenamed("vintage", "label"), "day").unionByName(undated), F.col("label")
+        else:
+            label = F.coalesce(dates.vintage_label(F.col("day"), self.unit), F.lit(daycounts.NULL_DATE)) if self.dated else F.lit(ALL)
+        return counts.groupBy(label.alias("vintage")).agg(
             F.sum("n_left").alias("day_rows_left"), F.sum("n_right").alias("day_rows_right"))
 
     def day_summary(self) -> DataFrame:
@@ -260,6 +285,9 @@ class ReconPair:
 
     def labelled(self, side: str) -> DataFrame:
         """Every row with its vintage, equal counts or not."""
+        if self.vintage_windows is not None:
+            undated = self.rows(side).where(self.day(side).isNull()).withColumn("vintage", F.lit(daycounts.NULL_DATE))
+            return filters.in_scope(self.rows(side), self.day(side), self.day_labels).unionByName(undated)
         label = dates.vintage_label(self.day(side), self.unit) if self.dated else F.lit(ALL)
         return self.rows(side).withColumn("vintage", F.coalesce(label, F.lit(daycounts.NULL_DATE)))
 
@@ -276,6 +304,27 @@ class ReconPair:
             return rowhash.multiset_counts(self.hashes(LEFT, scoped), self.hashes(RIGHT, scoped), ["vintage"])
         return rowhash.compare_counts(self.compared_rows(scoped), ["vintage"])
 
+    def sides(self, scoped: bool = True) -> digest_tree.Sides:
+        """Both tables as the search for differences sees them."""
+        hashed, keys = self._chosen
+        rows = lambda side: self.scoped(side) if scoped else self.labelled(side)
+        return digest_tree.Sides(rows(LEFT), rows(RIGHT), hashed, keys, ["vintage"], self.base)
+
+    def differences(self, scoped: bool = True, **options) -> DataFrame:
+        """Keys whose rows differ, with the columns that changed; rows of ranges with equal digests are not exchanged."""
+        return digest_tree.differences(self.sides(scoped), **options)
+
+    def changed_columns(self, scoped: bool = True) -> DataFrame:
+        """``(vintage, column, n)``: in how many keys a column differs."""
+        return digest_tree.changed_counts(self.differences(scoped), ["vintage"])
+
+    def changed_samples(self, n: int = rowhash.SAMPLE_ROWS, scoped: bool = True) -> DataFrame:
+        """The first ``n`` differing keys of each vintage, in key order, with hashes and changed columns."""
+        keys = [k.name for k in self._chosen[1]]
+        order = Window.partitionBy("vintage").orderBy(*keys)
+        found = self.differences(scoped).where("changed IS NOT NULL").withColumn("rn", F.row_number().over(order))
+        return found.where(F.col("rn") <= n).select("vintage", *keys, "left_hash", "right_hash", "changed")
+
     def _nothing_to_hash(self) -> DataFrame:
         zero = lambda t="bigint": F.lit(0).cast(t)
         return self.vintages().select(
