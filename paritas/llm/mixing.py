@@ -5,7 +5,9 @@ the excess reshared by weight (water filling). A document is expected to be take
 times (scaled by ``weight``, if the caller names such a column): ``floor(m)`` whole copies are certain, and the
 fraction is its inclusion probability p. Documents of a source are ranked by ``(u / (1 - u)) / (p / (1 - p))``, u
 drawn from id and text by md5, and taken in that order as long as they fit into what the target lacks. That fixes
-the sample's size in words, and reruns agree.
+the sample's size in words, and reruns agree. Where more than ``SLACK`` of a target is still missing, which takes documents
+longer than that, one document that did not fit is taken instead of the ranking's tail: the one that comes closest to the
+target together with the head of the ranking that fits beside it. What is missing then is filled in ranking order as before.
 
 Nothing sorts a whole source in one task: ranks fall into ``BINS`` bins, whose words are summed before the
 shuffle; documents are put in order within their bin, and those that cannot be drawn pass by unsorted.
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from paritas.llm.common import fresh, n_words_of, stored, text_of
 
-WEIGHTS, MOST, BINS = (1, 2, 3), 3, 4096
+WEIGHTS, MOST, BINS, SLACK = (1, 2, 3), 3, 4096, 0.01
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -71,7 +73,8 @@ def allocate(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     targets = source_targets(units.select(F.col("unit_source").alias("source_key"), F.col("words").alias("size")), weights, most)
     means = units.groupBy(F.col("unit_source").alias("mean_key")).agg(
         F.try_divide(F.sum(F.col("own") * F.col("words")), F.sum("words")).alias("mean"))
-    targets = targets.join(means, F.col("source_key").eqNullSafe(F.col("mean_key"))).drop("mean_key")
+    # stored: one row per source, which Spark broadcasts if its size allows, so that a hot source stays where it is
+    targets = stored(targets.join(means, F.col("source_key").eqNullSafe(F.col("mean_key"))).drop("mean_key"), "mix-targets")
     expected = F.when(F.col("source_size") > 0, F.least(
         F.lit(float(most)), F.col("target") / F.col("source_size") * F.when(F.col("mean") > 0, F.col("own") / F.col("mean")).otherwise(1.0)))
     rows = units.join(targets, F.col("unit_source").eqNullSafe(F.col("source_key")))
@@ -83,14 +86,53 @@ def allocate(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     rows = stored(rows.withColumn("bin", F.floor(F.col("place") * BINS).cast("int")).withColumn("extra", F.lit(0)), "mix-ranked")
     for _ in range(passes):
         rows = stored(_take(rows), "mix-taken")
+    rows = stored(_exchange(rows), "mix-taken")
+    for _ in range(passes - 1):
+        rows = stored(_take(rows), "mix-taken")
     return rows.withColumn("copies", F.col("certain") + F.col("extra")).drop("times", "words", "certain", "place", "bin", "extra")
 
 
+def _gaps(rows: DataFrame) -> DataFrame:
+    """gap_source, gap, room (words wanted beside the certain copies), goal per source; stored, as it is joined without an exchange."""
+    return stored(rows.groupBy(F.col("unit_source").alias("gap_source")).agg(
+        (F.max("target") - F.sum((F.col("certain") + F.col("extra")) * F.col("words"))).alias("gap"),
+        (F.max("target") - F.sum(F.col("certain") * F.col("words"))).alias("room"), F.max("target").alias("goal")), "mix-gaps")
+
+
+def _drawable() -> Column:
+    return F.col("place").isNotNull() & (F.col("words") > 0) & (F.col("words") <= F.col("room"))
+
+
+def _exchange(rows: DataFrame) -> DataFrame:
+    """``rows`` with another choice in sources that lack more than ``SLACK``: one document that did not fit, and the head beside it.
+
+    No document left out is shorter than the gap, so a target has at most ``source words / (SLACK * target)`` of them; they
+    meet the words up to each bin, at most ``BINS`` numbers a source.
+    """
+    lacking = stored(_gaps(rows).where(F.col("gap") > SLACK * F.col("goal")), "mix-lacking")
+    of_lacking = rows.join(lacking, F.col("unit_source").eqNullSafe(F.col("gap_source"))).where(_drawable())
+    bins = of_lacking.groupBy(F.col("unit_source").alias("bin_source"), F.col("bin").alias("bin_no")).agg(F.sum("words").alias("bin_words"))
+    upto = F.sum("bin_words").over(W.partitionBy("bin_source").orderBy("bin_no"))
+    heads = bins.withColumn("upto", upto).groupBy("bin_source").agg(F.array_sort(F.collect_list(F.struct("bin_no", "upto"))).alias("heads"))
+    left_out = of_lacking.where("extra = 0").join(stored(heads, "mix-heads"), F.col("unit_source").eqNullSafe(F.col("bin_source")))
+    beside = F.transform("heads", lambda h: F.struct(
+        h["bin_no"].alias("bin_no"), (h["upto"] - F.when(h["bin_no"] >= F.col("bin"), F.col("words")).otherwise(0)).alias("upto")))
+    fitting = F.filter(beside, lambda h: h["upto"] + F.col("words") <= F.col("room"))
+    head = F.coalesce(F.get(fitting, F.size(fitting) - 1), F.struct(F.lit(-1).alias("bin_no"), F.lit(0).cast("bigint").alias("upto")))
+    chosen = left_out.withColumn("head", head).withColumn("sum", F.col("head.upto") + F.col("words")).where(F.col("sum") > F.col("room") - F.col("gap"))
+    first = F.max_by(F.struct(F.col("unit_id").alias("in_id"), F.col("unit_fp").alias("in_fp"), F.col("head.bin_no").alias("until")),
+                     F.struct("sum", -F.col("place"), "unit_fp", "unit_id")).alias("in")
+    chosen = stored(chosen.groupBy(F.col("unit_source").alias("in_source")).agg(first).join(
+        lacking, F.col("in_source").eqNullSafe(F.col("gap_source"))).select("in_source", "in.*", "room"), "mix-chosen")
+    found = rows.join(chosen, F.col("unit_source").eqNullSafe(F.col("in_source")), "left")
+    is_in = F.col("unit_id").eqNullSafe(F.col("in_id")) & (F.col("unit_fp") == F.col("in_fp"))
+    extra = F.when(F.col("until").isNull(), F.col("extra")).when(is_in, 1).when(_drawable() & (F.col("bin") <= F.col("until")), 1).otherwise(0)
+    return found.withColumn("extra", extra).select(*rows.columns)
+
+
 def _take(rows: DataFrame) -> DataFrame:
     """``rows`` with ``extra`` = 1 for the head of the ranking that fits into what each source still lacks."""
-    gaps = rows.groupBy(F.col("unit_source").alias("gap_source")).agg(
-        (F.max("target") - F.sum((F.col("certain") + F.col("extra")) * F.col("words"))).alias("gap"))
-    open_rows = rows.join(gaps, F.col("unit_source").eqNullSafe(F.col("gap_source"))).drop("gap_source")
+    open_rows = rows.join(_gaps(rows).drop("room", "goal"), F.col("unit_source").eqNullSafe(F.col("gap_source"))).drop("gap_source")
     fits = F.col("place").isNotNull() & (F.col("extra") == 0) & (F.col("words") > 0) & (F.col("words") <= F.col("gap"))
     open_rows = open_rows.withColumn("fit", F.when(fits, F.col("words")))
     idle, open_rows = open_rows.where(F.col("fit").isNull()).select(*rows.columns), open_rows.where(F.col("fit").isNotNull())

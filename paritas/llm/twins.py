@@ -47,9 +47,9 @@ g AS (SELECT plain, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(plain) AS text_sha256 FROM t JOIN g USING (plain)"""
 
 
-def _passes(n: int) -> str:
+def _passes(first: int, n: int) -> str:
     out = ""
-    for k in range(n):
+    for k in range(first, first + n):
         out += f""",
 g{k} AS (SELECT source, max(target) - sum((certain + extra) * words) AS gap FROM t{k} GROUP BY 1),
 f{k} AS (SELECT t.*, gap, CASE WHEN place IS NOT NULL AND extra = 0 AND words > 0 AND words <= gap THEN words END AS fit
@@ -60,6 +60,25 @@ t{k + 1} AS (SELECT doc_id, fp, source, size, words, source_size, target, certai
     return out
 
 
+def _exchange(k: int) -> str:
+    return f""",
+l{k} AS (SELECT * FROM (SELECT source, any_value(target) AS goal, any_value(target) - sum((certain + extra) * words) AS gap,
+           any_value(target) - sum(certain * words) AS room FROM t{k} GROUP BY 1) WHERE gap > {mixing.SLACK} * goal),
+y{k} AS (SELECT t.*, gap, room, CAST(floor(place * {mixing.BINS}) AS INTEGER) AS bin FROM t{k} t JOIN l{k} l ON t.source IS NOT DISTINCT FROM l.source
+         WHERE place IS NOT NULL AND words > 0 AND words <= room),
+h{k} AS (SELECT source, bin, sum(sum(words)) OVER (PARTITION BY source ORDER BY bin) AS upto FROM y{k} GROUP BY 1, 2),
+b{k} AS (SELECT y.source, y.doc_id, y.fp, y.words, y.place, room, gap, h.bin AS until, upto - CASE WHEN h.bin >= y.bin THEN y.words ELSE 0 END AS beside
+         FROM y{k} y JOIN h{k} h ON y.source IS NOT DISTINCT FROM h.source WHERE extra = 0
+         UNION ALL SELECT source, doc_id, fp, words, place, room, gap, -1, 0 FROM y{k} WHERE extra = 0),
+z{k} AS (SELECT source, doc_id, fp, place, room, gap, max(beside + words) AS s, max(until) AS until FROM b{k}
+         WHERE beside + words <= room GROUP BY ALL HAVING max(beside + words) > room - gap),
+i{k} AS (SELECT source, room, arg_max((doc_id, fp, until), (s, -place, fp, doc_id)) AS c FROM z{k} GROUP BY 1, 2),
+t{k + 1} AS (SELECT doc_id, fp, t.source, size, words, source_size, target, certain, place, CASE WHEN c IS NULL THEN extra
+         WHEN t.doc_id IS NOT DISTINCT FROM c[1] AND fp = c[2] THEN 1
+         WHEN place IS NOT NULL AND words > 0 AND words <= room AND floor(place * {mixing.BINS}) <= c[3] THEN 1 ELSE 0 END AS extra
+         FROM t{k} t LEFT JOIN i{k} i ON t.source IS NOT DISTINCT FROM i.source)"""
+
+
 OP5 = f"""
 WITH d AS (SELECT doc_id, source, md5(coalesce(text, '')) AS fp, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS size FROM documents),
 u AS (SELECT doc_id, fp, source, size, CAST(sum(size) AS BIGINT) AS words FROM d GROUP BY doc_id, fp, source, size),
@@ -76,9 +95,9 @@ e AS (SELECT u.*, source_size, target, CASE WHEN source_size > 0 THEN least({flo
       FROM u JOIN x ON u.source IS NOT DISTINCT FROM x.source),
 p AS (SELECT *, CAST(floor(expected) AS BIGINT) AS certain, expected - floor(expected) AS chance FROM e),
 q AS (SELECT *, CASE WHEN chance > 0 THEN (draw / (1 - draw)) * ((1 - chance) / chance) END AS odds FROM p),
-t0 AS (SELECT doc_id, fp, source, size, words, source_size, target, certain, odds / (1 + odds) AS place, 0 AS extra FROM q){_passes(3)}
+t0 AS (SELECT doc_id, fp, source, size, words, source_size, target, certain, odds / (1 + odds) AS place, 0 AS extra FROM q){_passes(0, 3)}{_exchange(3)}{_passes(4, 2)}
 SELECT d.doc_id, d.size, source_size, target, (certain + extra) * d.size AS taken, certain + extra AS copies
-FROM d JOIN t3 t ON d.doc_id IS NOT DISTINCT FROM t.doc_id AND d.fp = t.fp AND d.source IS NOT DISTINCT FROM t.source"""
+FROM d JOIN t6 t ON d.doc_id IS NOT DISTINCT FROM t.doc_id AND d.fp = t.fp AND d.source IS NOT DISTINCT FROM t.source"""
 
 OP7 = f"""
 WITH l AS (SELECT doc_id, pos, raw, {_LINE.format('raw')} AS line FROM (
