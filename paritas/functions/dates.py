@@ -192,12 +192,17 @@ def to_native(day: Column, fmt: str | None) -> Column:
 
 
 def within(column: Column, dtype: T.DataType, fmt: str | None, start: str | None, end: str | None,
-           half_open: bool = False) -> Column:
+           half_open: bool = False, mixed: bool = False) -> Column:
     """Window predicate on the *raw* column so that it reaches the file scan.
 
     The bounds, not the rows, are converted: typed columns compare with typed literals
-    and sortable text with the bound written in the column's own format.
+    and sortable text with the bound written in the column's own format. With ``mixed``, text of another shape than the
+    format's is parsed as what it is and meets the bounds as a date; such a predicate is not pushed down.
     """
+    if mixed and isinstance(dtype, T.StringType) and fmt in dict(TEXT_SHAPES):
+        bounds = (start, end, half_open)
+        return F.when(column.rlike(dict(TEXT_SHAPES)[fmt]), within(column, dtype, fmt, *bounds)) \
+            .otherwise(within(parse_any(column), T.DateType(), None, *bounds))
     if isinstance(dtype, T.StringType) and fmt not in (COMPACT, ISO, SLASHED, ISO_TIME):
         column, dtype = parse_with(column, fmt), T.DateType()
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):

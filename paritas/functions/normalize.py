@@ -43,10 +43,13 @@ def norm_number(c: Column, dtype: T.DataType, decimals: int = DECIMALS) -> Colum
     if isinstance(dtype, T.IntegralType):
         fixed = c.cast("string") if decimals == 0 else F.concat(c.cast("string"), F.lit("." + "0" * decimals))
     elif isinstance(dtype, T.StringType):
-        # exact as far as 38 digits go; what is larger, or not finite, is read as a float
+        # exact as far as 38 digits go; longer runs of digits keep their text, and the rest is read as a float
         exact, value = c.try_cast("decimal(38,10)"), c.try_cast("double")
-        as_text = norm_label(c)
+        as_text, wide = norm_label(c), T.DecimalType(38, decimals)
+        rounded = c.try_cast(wide)
         parsed = F.when(exact.isNotNull(), norm_number(exact, T.DecimalType(38, 10), decimals)) \
+            .when(rounded.isNotNull(), norm_number(rounded, wide, decimals)) \
+            .when(F.trim(c).rlike(_PLAIN_NUMBER), number_text(c, dtype)) \
             .otherwise(norm_number(value, T.DoubleType(), decimals))
         return F.when(value.isNotNull() | as_text.isNull(), parsed).otherwise(as_text)
     else:
@@ -59,6 +62,24 @@ def norm_number(c: Column, dtype: T.DataType, decimals: int = DECIMALS) -> Colum
     return F.when(c.isNull() | (c == 0), F.lit("0")).otherwise(fixed)
 
 
+_PLAIN_NUMBER = r"^[+-]?[0-9]+([.][0-9]*)?$"
+
+
+def number_text(c: Column, dtype: T.DataType) -> Column:
+    """A number as its digits, of any length: no plus sign, no leading zeros, no zeros behind the last decimal.
+
+    Equal numbers have equal text whatever type they come from. Text in another notation (an exponent) is written out as
+    far as 38 digits go; text that is no number stays as it is, trimmed. NULL for NULL only.
+    """
+    text = F.trim(c.cast("string"))
+    written = F.coalesce(text.try_cast("decimal(38,10)").cast("string"), text)
+    plain = text if isinstance(dtype, (T.IntegralType, T.DecimalType)) else F.when(text.rlike(_PLAIN_NUMBER), text).otherwise(written)
+    whole = F.regexp_replace(plain, r"^(\+|(-))?0*(?=[0-9])", "$2") if isinstance(dtype, T.StringType) else plain
+    short = F.when(plain.rlike(_PLAIN_NUMBER) & F.contains(whole, F.lit(".")), F.regexp_replace(whole, r"\.?0*$", "")).otherwise(whole)
+    number = F.when(short == "-0", F.lit("0")).otherwise(short)
+    return F.when(plain.rlike(_PLAIN_NUMBER), number).otherwise(plain)
+
+
 def norm_date(day: Column) -> Column:
     return day.cast("string")
 

@@ -18,7 +18,7 @@ class ColumnPair:
     """One left column, the right column it is mapped to, and how they are compared.
 
     ``left_fmt`` / ``right_fmt`` are the date patterns of text columns, if any. ``key_type`` is the exact type in which
-    numbers of both sides meet as keys.
+    numbers of both sides meet as keys, or DIGITS where none holds both.
     """
 
     left: str
@@ -55,21 +55,29 @@ class ColumnPair:
         return normalize.norm_by_type(df[column], df.schema[column].dataType, self.family, fmt, decimals)
 
     def key(self, df: DataFrame, side: str) -> Column:
-        """Value as a join key: numbers in the exact type that holds both sides."""
+        """Value as a join key: numbers in the exact type that holds both sides, or as their digits. NULL for NULL only."""
         column, _ = self.source(side)
-        return df[column].try_cast(self.key_type) if self.family == NUMBER else self.value(df, side)
+        if self.family != NUMBER:
+            return self.value(df, side)
+        if self.key_type == DIGITS:
+            return normalize.number_text(df[column], df.schema[column].dataType)
+        return df[column].cast(self.key_type)
 
 
-#: Digits after the point of a key that is text or floating on one side.
-LOOSE_SCALE = 10
+#: Key type of numbers that no one type holds exactly: text or floats on a side, or too many digits.
+DIGITS = "digits"
+_LONG_DIGITS, _MOST_DIGITS = 19, 38
 
 
 def exact_type(left: T.DataType, right: T.DataType) -> str:
-    """BIGINT when both sides are whole numbers, else the widest decimal with the larger scale of the two."""
+    """BIGINT for whole numbers, a decimal that holds the digits of both sides if there is one, else DIGITS."""
     if isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType):
         return "bigint"
-    scales = [0 if isinstance(t, T.IntegralType) else t.scale if isinstance(t, T.DecimalType) else LOOSE_SCALE for t in (left, right)]
-    return f"decimal(38,{max(scales)})"
+    if not all(isinstance(t, (T.IntegralType, T.DecimalType)) for t in (left, right)):
+        return DIGITS
+    whole = max(t.precision - t.scale if isinstance(t, T.DecimalType) else _LONG_DIGITS for t in (left, right))
+    scale = max(t.scale if isinstance(t, T.DecimalType) else 0 for t in (left, right))
+    return f"decimal({_MOST_DIGITS},{scale})" if whole + scale <= _MOST_DIGITS else DIGITS
 
 
 def pair_columns(left: DataFrame, right: DataFrame, mapping: dict[str, str],

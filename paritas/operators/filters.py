@@ -8,13 +8,13 @@ from ..functions import dates
 
 
 def in_window(df: DataFrame, column: str, start: str | None, end: str | None, where: str | None = None,
-              fmt: str | None = None, half_open: bool = False) -> DataFrame:
+              fmt: str | None = None, half_open: bool = False, mixed: bool = True) -> DataFrame:
     """Rows between two days, both included unless ``half_open``, and an extra condition.
 
-    Every part is optional.
+    Every part is optional. ``mixed=False`` promises that text dates all have the format, and lets the window reach the scan.
     """
     if start is not None or end is not None:
-        df = df.where(dates.within(F.col(column), df.schema[column].dataType, fmt, start, end, half_open))
+        df = df.where(dates.within(F.col(column), df.schema[column].dataType, fmt, start, end, half_open, mixed))
     return df.where(where) if where else df
 
 

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..functions.normalize import number_text
 from ..functions.types import NUMBER
 from .columns import ColumnPair
 
@@ -42,14 +43,14 @@ def unpivot_lanes(df: DataFrame, by: list[str], lanes: dict[str, dict[str, Colum
     return df.select(*by, F.inline(rows))
 
 
-def continuous_lanes(value: Column, dtype: T.DataType) -> dict[str, Column]:
-    """Lanes of a number: exact identity for distinct counts, a double for moments."""
+def continuous_lanes(value: Column, dtype: T.DataType, digits: Column | None = None) -> dict[str, Column]:
+    """Lanes of a number: exact identity for distinct counts, a double for moments. Text is told apart by its ``digits``."""
     none = lambda t: F.lit(None).cast(t)
     if isinstance(dtype, T.IntegralType):
         return {"v_long": value.cast("bigint"), "v_dbl": none("double"), "v_text": none("string")}
     if isinstance(dtype, T.DecimalType):
         return {"v_long": none("bigint"), "v_dbl": value.cast("double"), "v_text": value.cast("string")}
-    return {"v_long": none("bigint"), "v_dbl": value.cast("double"), "v_text": none("string")}
+    return {"v_long": none("bigint"), "v_dbl": value.cast("double"), "v_text": none("string") if digits is None else digits}
 
 
 @dataclass
@@ -72,7 +73,9 @@ def long_form(df: DataFrame, pairs: list[ColumnPair], side: str, by: list[str],
         if pair.family == NUMBER:
             column, _ = pair.source(side)
             dtype = df.schema[column].dataType
-            numbers[pair.name] = continuous_lanes(pair.value(df, side), dtype if isinstance(dtype, T.NumericType) else T.DoubleType())
+            written = isinstance(dtype, T.StringType)
+            numbers[pair.name] = continuous_lanes(
+                pair.value(df, side), T.DoubleType() if written else dtype, number_text(df[column], dtype) if written else None)
         else:
             value = pair.normal(df, side) if normalised else pair.value(df, side)
             if not normalised and pair.family == "timestamp":

@@ -69,6 +69,7 @@ class ReconPair:
 
     def __post_init__(self) -> None:
         self.unit = dates.partition_unit(self.partition)
+        self._notations: dict[str, bool] = {}
         if (self.left_date is None) != (self.right_date is None):
             raise ValueError("give a date column on both sides or on none")
         if self.vintage_windows is not None and self.left_date is None:
@@ -103,7 +104,17 @@ class ReconPair:
         where = self.left_where if side == LEFT else self.right_where
         if not column:
             return df.where(where) if where else df
-        return filters.in_window(df, column, self.start, self.end, where, fmt)
+        return filters.in_window(df, column, self.start, self.end, where, fmt, mixed=self._mixed(side))
+
+    def _mixed(self, side: str) -> bool:
+        """Does a text date column hold more notations than its main one? Asked, by profiling it, only for a window."""
+        df, column, fmt = self._date(side)
+        if (self.start or self.end) is None or not filters.is_text(df, column):
+            return False
+        if side not in self._notations:
+            found = dates.format_profile(df, column).select("fmt").collect()  # one row per known format
+            self._notations[side] = [r["fmt"] for r in found] != [fmt]
+        return self._notations[side]
 
     def day(self, side: str) -> Column:
         df, column, fmt = self._date(side)

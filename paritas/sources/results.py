@@ -68,7 +68,13 @@ def read_result(spark: SparkSession, path: str, fmt: str = "parquet", schema=Non
 
 
 def write_run(df: DataFrame, base: str, run: str, step: str, fmt: str = "parquet") -> str:
-    """Append-style layout: results partitioned by run and step below one base path."""
+    """Results partitioned by run and step below one base path; writing a step again replaces it and leaves the others.
+
+    An empty result replaces nothing, so a step that has become empty is removed first.
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/run_name={run}/step={step}")
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
     tagged = df.withColumns({"run_name": F.lit(run), "step": F.lit(step)})
-    tagged.write.mode("append").partitionBy("run_name", "step").format(fmt).save(base)
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_name", "step").format(fmt).save(base)
     return base

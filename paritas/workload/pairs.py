@@ -77,6 +77,13 @@ def orders_right(spark: SparkSession, sf: str, cancelling: bool = False) -> Data
         "order_id", F.col("order_id") + F.col("__shift")).drop("__again", "__shift")
 
 
+def orders_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """The right side with every seventh and eleventh date in another notation."""
+    day = F.to_date("order_dt", "yyyyMMdd")
+    written = F.when(every("order_id", 7), F.date_format(day, "yyyy-MM-dd")).when(every("order_id", 11), F.date_format(day, "MMM d, yyyy"))
+    return orders_right(spark, sf).withColumn("order_dt", F.coalesce(written, "order_dt"))
+
+
 def orders_pair(spark: SparkSession, sf: str, **options) -> ReconPair:
     options = {"partition": "month", "right_fmt": "yyyyMMdd", **options}
     return ReconPair("orders", orders_left(spark, sf), orders_right(spark, sf),

@@ -262,10 +262,11 @@ def sample_mismatches(spark, sf):
 
 
 @query("mismatch_cap", """
-SELECT order_id, left_hash, right_hash FROM c_j1 WHERE status = 'hash_mismatch'""")
+SELECT vintage, order_id, left_hash, right_hash, count(*) OVER () AS total FROM c_j1 WHERE status = 'hash_mismatch'
+QUALIFY row_number() OVER (ORDER BY vintage, order_id) <= 10000""")
 def mismatch_cap(spark, sf):
     compared = _full_pair(spark, sf).compared_rows(scoped=False)
-    return rowhash.sample_mismatches(compared, ["ORDER_ID"], [], None).withColumnRenamed("ORDER_ID", "order_id")
+    return rowhash.capped_mismatches(compared, ["ORDER_ID"], ["vintage"]).withColumnRenamed("ORDER_ID", "order_id")
 
 
 @query("hash_sample_rows", """
@@ -617,12 +618,36 @@ def reconcile_mixed_formats(spark, sf):
 WIDE_KEY = "9007199254740993 + {key}"
 
 
-@query("reconcile_wide_keys", """
-SELECT count(*) AS left_rows, count(*) AS right_rows, count(*) AS matched, 0 AS left_only, 0 AS right_only, 0 AS hash_mismatch, 'MATCH' AS status FROM part""")
+def _wide_pair(spark, sf, left, right):
+    """Parts under another key: an expression over ``p_partkey`` for each side."""
+    part = pairs.table(spark, sf, "part")
+    sides = part.selectExpr(f"{left} AS ID", "p_brand AS BRAND"), part.selectExpr(f"{right} AS id", "p_brand AS brand")
+    return ReconPair("wide", *sides, pairs.crosswalk(spark, [("ID", "id", None), ("BRAND", "brand", None)]), keys=["ID"], hash_all=True)
+
+
+def _all_parts(status):
+    return f"""SELECT count(*) AS left_rows, count(*) AS right_rows, count(*) AS matched, 0 AS left_only, 0 AS right_only, 0 AS hash_mismatch,
+  2 AS matched_columns, '{status}' AS status FROM part"""
+
+
+@query("reconcile_wide_keys", _all_parts("MATCH"))
 def reconcile_wide_keys(spark, sf):
     """Neighbouring 17-digit keys: a decimal against text, which a DOUBLE could not tell apart."""
-    part = pairs.table(spark, sf, "part")
-    left = part.selectExpr(f"cast({WIDE_KEY.format(key='p_partkey')} as decimal(19,0)) AS ID", "p_brand AS BRAND")
-    right = part.selectExpr(f"cast({WIDE_KEY.format(key='p_partkey')} as string) AS id", "p_brand AS brand")
-    pair = ReconPair("wide", left, right, pairs.crosswalk(spark, [("ID", "id", None), ("BRAND", "brand", None)]), keys=["ID"], hash_all=True)
-    return pair.reconcile().select(*_COUNTS, F.when(F.col("status") == "COLUMNS_DIFFER", "MATCH").otherwise(F.col("status")).alias("status"))
+    key = WIDE_KEY.format(key="p_partkey")
+    return _wide_pair(spark, sf, f"cast({key} as decimal(19,0))", f"cast({key} as string)").reconcile().select(*_COUNTS, "matched_columns", "status")
+
+
+@query("reconcile_long_keys", _all_parts("MATCH"))
+def reconcile_long_keys(spark, sf):
+    """Keys of 38 digits, a decimal against text with leading zeros: no common decimal has room for both sides' digits."""
+    key = "repeat('9', 30) || lpad(p_partkey, 8, '0')"
+    return _wide_pair(spark, sf, f"cast({key} as decimal(38,0))", f"'+00' || {key}").reconcile().select(*_COUNTS, "matched_columns", "status")
+
+
+@query("hash_check_text_keys", """
+SELECT count(*) AS left_rows, count(*) AS right_rows, count(*) FILTER (WHERE p_partkey % 3 <> 0) AS matched, count(*) FILTER (WHERE p_partkey % 3 = 0) AS left_only,
+  count(*) FILTER (WHERE p_partkey % 3 = 0) AS right_only, 0 AS hash_mismatch FROM part""")
+def hash_check_text_keys(spark, sf):
+    """Every third key is no number on the right: such keys stay apart from each other and meet nothing."""
+    pair = _wide_pair(spark, sf, "p_partkey", "if(p_partkey % 3 = 0, 'no. ' || p_partkey, p_partkey || '.0')")
+    return pair.hash_check().select(*big(*_COUNTS))

@@ -25,6 +25,13 @@ def filter_date_inclusive(spark, sf):
     return kept.select("order_id", "order_dt")
 
 
+@query("filter_date_mixed", """
+SELECT order_id FROM c_or WHERE order_dt BETWEEN DATE '1996-02-01' AND DATE '1997-11-30'""")
+def filter_date_mixed(spark, sf):
+    """A window over text dates in three notations, of which one is the column's main format."""
+    return filters.in_window(pairs.orders_mixed(spark, sf), "order_dt", "1996-02-01", "1997-11-30", fmt=dates.COMPACT).select("order_id")
+
+
 @query("filter_date_halfopen", """
 SELECT event_id, 'native' AS kind FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20'
 UNION ALL
