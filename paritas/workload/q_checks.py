@@ -13,7 +13,7 @@ from ..plans import ReconPair
 from . import pairs
 from .registry import query
 from .shape import SHOWN_STATS_SQL, big, shown_stats, steady, steady_square, text
-from .sqlparts import (FINGERPRINT, ORDER_NAMES, PARTS, continuous_sql, categorical_sql, frequencies_sql, limbs, month,
+from .sqlparts import (FINGERPRINT, ORDER_NAMES, PARTS, continuous_sql, categorical_sql, frequencies_sql, full_compare, limbs, month,
                        n_dbl, n_int, n_label, order_norms, robust, week, year)
 
 # ---------------------------------------------------------------- profiles
@@ -142,26 +142,46 @@ def column_fingerprint(spark, sf):
     return pairs.orders_pair(spark, sf).column_fingerprints().withColumnRenamed("column", "column_name")
 
 
-_STATUS_SQL = """SELECT (SELECT is_match FROM c_tfp) AS table_match, (SELECT count(*) FILTER (WHERE is_match) FROM c_vfp) AS vintages_matched,
-  (SELECT count(*) FROM c_vfp) AS vintages, (SELECT count(*) FILTER (WHERE is_match) FROM c_cfp) AS columns_matched,
-  (SELECT count(*) FROM c_cfp) AS columns,
-  CASE WHEN NOT (SELECT is_match FROM c_tfp) THEN 'FAIL' WHEN (SELECT bool_and(is_match) FROM c_vfp) AND (SELECT bool_and(is_match) FROM c_cfp)
-       THEN 'PASS' ELSE 'PARTIAL' END AS status"""
+def _long_digests(src: str, norms: dict[str, str], day: str) -> str:
+    row = f"md5(concat_ws('|', {', '.join(f"coalesce({n}, 'NULL')" for n in norms.values())}))"
+    levels = [f"SELECT 'table' AS level, '' AS part, {row} AS g FROM {src}", f"SELECT 'vintage', vintage, {row} FROM {src}"]
+    levels += [f"SELECT 'column', '{c}', md5(coalesce({day}, 'NULL') || '|' || coalesce({n}, 'NULL')) FROM {src}" for c, n in norms.items()]
+    return f"SELECT level, part, {FINGERPRINT} AS h FROM (SELECT level, part, count(*) AS n, {limbs('g')} FROM ({' UNION ALL '.join(levels)}) GROUP BY 1, 2)"
 
 
-@query("hash_table_status", f"""
-SELECT 'orders' AS table_name, * FROM ({_STATUS_SQL})
-UNION ALL SELECT 'customer', true, 1, 1, 5, 5, 'PASS'""")
+def _table_status_sql(name: str, left: str, right: str, norms: dict[str, str], day: str) -> str:
+    both = f"""SELECT coalesce(l.level, r.level) AS level, coalesce(l.h = r.h, false) AS ok FROM ({_long_digests(left, norms, day)}) l
+FULL OUTER JOIN ({_long_digests(right, norms, day)}) r ON l.level = r.level AND l.part = r.part"""
+    of = lambda level, ok="": f"count(*) FILTER (WHERE level = '{level}'{ok})"
+    return f"""SELECT '{name}' AS table_name, bool_and(ok) FILTER (WHERE level = 'table') AS table_match, {of('vintage', ' AND ok')} AS vintages_matched,
+  {of('vintage')} AS vintages, {of('column', ' AND ok')} AS columns_matched, {of('column')} AS columns,
+  CASE WHEN NOT bool_and(ok) FILTER (WHERE level = 'table') THEN 'FAIL' WHEN bool_and(ok) THEN 'PASS' ELSE 'PARTIAL' END AS status FROM ({both})"""
+
+
+# every 97th order is dated 40 days later on the right, and the date is not compared: the same rows, but not in the same vintages
+PARTS["c_moved_l"] = f"SELECT order_id, cust_id, order_dt, {month('order_dt')} AS vintage FROM c_ol"
+PARTS["c_moved_r"] = f"SELECT order_id, cust_id, order_dt, {month('order_dt')} AS vintage FROM (SELECT order_id, cust_id, order_dt + CASE WHEN order_id % 97 = 0 THEN 40 ELSE 0 END AS order_dt FROM c_ol)"
+PARTS["c_nations"] = "SELECT *, 'all' AS vintage FROM nation"
+
+
+def _moved_orders(spark, sf):
+    left = pairs.orders_left(spark, sf).select("ORDER_ID", "CUST_ID", "ORDER_DT")
+    later = F.date_add("ORDER_DT", F.when(pairs.every("ORDER_ID", 97), 40).otherwise(0))
+    right = left.select(F.col("ORDER_ID").alias("order_id"), F.col("CUST_ID").alias("cust_id"), later.alias("order_dt"))
+    mapped = pairs.crosswalk(spark, [("ORDER_ID", "order_id", None), ("CUST_ID", "cust_id", None)])
+    return ReconPair("moved", left, right, mapped, "ORDER_DT", "order_dt", partition="month")
+
+
+@query("hash_table_status", " UNION ALL ".join([
+    _table_status_sql("orders", "c_ols", "c_ors", dict(zip(ORDER_NAMES, order_norms())), "CAST(order_dt AS VARCHAR)"),
+    _table_status_sql("moved", "c_moved_l", "c_moved_r", {c: n_int(c) for c in ("order_id", "cust_id")}, "CAST(order_dt AS VARCHAR)"),
+    _table_status_sql("nation", "c_nations", "c_nations", {"n_nationkey": n_int("n_nationkey"), "n_name": n_label("n_name"), "n_regionkey": n_int("n_regionkey")}, "NULL")]))
 def hash_table_status(spark, sf):
     out = None
-    for name, make in (("orders", pairs.orders_pair), ("customer", pairs.customer_pair)):
+    for name, make, scoped in (("orders", pairs.orders_pair, True), ("moved", _moved_orders, False), ("nation", pairs.nation_pair, True)):
         pair = make(spark, sf)
-        if name == "customer":
-            # the segment carries a tab that the normaliser removes, so every digest agrees
-            vintages = pair.fingerprints(by_vintage=True)
-        else:
-            vintages = pair.fingerprints(by_vintage=True)
-        one = rowhash.table_status(pair.fingerprints(), vintages, pair.column_fingerprints()).select(F.lit(name).alias("table_name"), "*")
+        levels = pair.fingerprints(scoped=scoped), pair.fingerprints(by_vintage=True, scoped=scoped), pair.column_fingerprints(scoped=scoped)
+        one = rowhash.table_status(*levels).select(F.lit(name).alias("table_name"), "*")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -584,15 +604,22 @@ def _by_month(table, day="order_dt", where="true"):
     return f"SELECT coalesce({month(day)}, 'null_date') AS vintage, count(*) AS n FROM {table} WHERE {where} GROUP BY 1"
 
 
+PARTS["c_js"] = full_compare("c_olsh", "c_orsh")
+PARTS["c_status"] = """
+SELECT vintage, excluded_days, coalesce(r.mismatched_columns, 0) AS mismatched_columns, coalesce(h.matched, 0) AS matched, coalesce(h.hash_mismatch, 0) AS hash_mismatch,
+  CASE WHEN coalesce(h.hash_mismatch, 0) > 0 OR coalesce(h.one_sided, 0) > 0 THEN 'ROWS_DIFFER' WHEN coalesce(r.mismatched_columns, 0) > 0 THEN 'COLUMNS_DIFFER'
+       WHEN excluded_days > 0 THEN 'DAYS_DIFFER' ELSE 'MATCH' END AS status
+FROM c_vint LEFT JOIN c_rate r USING (vintage) LEFT JOIN (SELECT vintage, count(*) FILTER (WHERE status = 'matched') AS matched,
+  count(*) FILTER (WHERE status = 'hash_mismatch') AS hash_mismatch, count(*) FILTER (WHERE status IN ('left_only', 'right_only')) AS one_sided FROM c_js GROUP BY 1) h USING (vintage)"""
+
+
 @query("reconcile_one_sided_months", "SELECT vintage, day_rows_left, day_rows_right, CASE WHEN day_rows_right = 0 THEN 'LEFT_ONLY' "
-       "WHEN day_rows_left = 0 THEN 'RIGHT_ONLY' ELSE 'COMPARED' END AS outcome FROM (" + _BOTH_BY_MONTH.format(
-           left=_by_month("c_ol", where="month(order_dt) % 6 <> 1"), right=_by_month("c_or", where="month(order_dt) % 6 <> 4")) + ")")
+       "WHEN day_rows_left = 0 THEN 'RIGHT_ONLY' ELSE status END AS status FROM (" + _BOTH_BY_MONTH.format(
+           left=_by_month("c_ol", where="month(order_dt) % 6 <> 1"), right=_by_month("c_or", where="month(order_dt) % 6 <> 4")) + ") JOIN c_status USING (vintage)")
 def reconcile_one_sided_months(spark, sf):
     pair = _orders_with(spark, sf, lambda df: df.where("month(ORDER_DT) % 6 <> 1"),
                         lambda df: df.where("cast(substring(order_dt, 5, 2) as int) % 6 <> 4"))
-    found = pair.reconcile().where("day_rows_left + day_rows_right > 0")
-    one_sided = F.col("status").isin("LEFT_ONLY", "RIGHT_ONLY")
-    return found.select("vintage", "day_rows_left", "day_rows_right", F.when(one_sided, F.col("status")).otherwise("COMPARED").alias("outcome"))
+    return pair.reconcile().where("day_rows_left + day_rows_right > 0").select("vintage", "day_rows_left", "day_rows_right", "status")
 
 
 @query("reconcile_null_dates", "SELECT vintage, day_rows_left, day_rows_right, vintage = 'null_date' AS undated FROM (" + _BOTH_BY_MONTH.format(
@@ -605,14 +632,13 @@ def reconcile_null_dates(spark, sf):
     return found.select("vintage", "day_rows_left", "day_rows_right", (F.col("status") == "NULL_DATES").alias("undated"))
 
 
-@query("reconcile_mixed_formats", "SELECT vintage, day_rows_left, day_rows_right FROM (" + _BOTH_BY_MONTH.format(
-    left=_by_month("c_ol"), right=_by_month("c_or")) + ")")
+@query("reconcile_mixed_formats", "SELECT vintage, day_rows_left, day_rows_right, excluded_days, mismatched_columns, matched, hash_mismatch, status FROM ("
+       + _BOTH_BY_MONTH.format(left=_by_month("c_ol"), right=_by_month("c_or")) + ") JOIN c_status USING (vintage) WHERE vintage BETWEEN 'M199602' AND 'M199711'")
 def reconcile_mixed_formats(spark, sf):
-    iso = F.date_format(F.to_date("order_dt", "yyyyMMdd"), "yyyy-MM-dd")
-    named = F.date_format(F.to_date("order_dt", "yyyyMMdd"), "MMM d, yyyy")
-    mixed = F.when(pairs.every("order_id", 7), iso).when(pairs.every("order_id", 11), named).otherwise(F.col("order_dt"))
-    pair = _orders_with(spark, sf, right=lambda df: df.withColumn("order_dt", mixed))
-    return pair.reconcile().where("day_rows_left + day_rows_right > 0").select("vintage", "day_rows_left", "day_rows_right")
+    """Dates in three notations on the right, in a window of whole months: as if all were written alike."""
+    pair = ReconPair("orders", pairs.orders_left(spark, sf), pairs.orders_mixed(spark, sf), pairs.crosswalk(spark, pairs.ORDERS_CROSSWALK), "ORDER_DT", "order_dt",
+                     partition="month", start="1996-02-01", end="1997-11-30", keys=["ORDER_ID"], hash_all=True)
+    return pair.reconcile().select("vintage", "day_rows_left", "day_rows_right", *big("excluded_days"), "mismatched_columns", *big("matched", "hash_mismatch"), "status")
 
 
 WIDE_KEY = "9007199254740993 + {key}"
