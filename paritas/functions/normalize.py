@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 from . import dates
-from .types import BINARY, DATE, NUMBER, TEXT, TIMESTAMP, family_of
+from .types import BINARY, DATE, NESTED, NUMBER, TIMESTAMP, family_of
 
 # Text that stands for "no value" once trimmed and upper-cased.
 PSEUDO_NULLS = ["", "NULL", "NUL", "NONE", "N/A", "<NA>", "EMPTY", "NIL", "."]
@@ -92,6 +92,31 @@ def norm_binary(c: Column) -> Column:
     return F.hex(c)
 
 
+def _told(text: Column) -> Column:
+    """A part of a nested value so that no two sequences of parts read alike: its length before it, ``~`` for NULL."""
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~"))
+
+
+def norm_nested(c: Column, dtype: T.DataType, decimals: int = DECIMALS) -> Column:
+    """Canonical text of arrays, structs and maps of any depth; every value inside is normalised by its own type.
+
+    Array elements keep their order; fields of a struct are told by lower-case name in alphabetical order, so sides may declare
+    them in any order; entries of a map are ordered by canonical key. NULL for NULL, which differs from an empty value.
+    """
+    if isinstance(dtype, T.ArrayType):
+        parts = F.transform(c, lambda x: _told(norm_nested(x, dtype.elementType, decimals)))
+        return F.concat(F.lit("["), F.array_join(parts, ","), F.lit("]"))
+    if isinstance(dtype, T.MapType):
+        entry = lambda e: F.struct(_told(norm_nested(e["key"], dtype.keyType, decimals)).alias("k"), _told(norm_nested(e["value"], dtype.valueType, decimals)).alias("v"))
+        entries = F.array_sort(F.transform(F.map_entries(c), entry))
+        return F.concat(F.lit("{"), F.array_join(F.transform(entries, lambda e: F.concat(e["k"], F.lit("="), e["v"])), ","), F.lit("}"))
+    if isinstance(dtype, T.StructType):
+        fields = sorted(dtype.fields, key=lambda f: f.name.lower())
+        parts = [F.concat(F.lit(f.name.lower() + "="), _told(norm_nested(c.getField(f.name), f.dataType, decimals))) for f in fields]
+        return F.when(c.isNotNull(), F.concat(F.lit("("), F.concat_ws(",", *parts), F.lit(")")))
+    return F.when(c.isNotNull(), norm_by_type(c, dtype, decimals=decimals))
+
+
 def norm_by_type(c: Column, dtype: T.DataType, family: str | None = None, fmt: str | None = None,
                  decimals: int = DECIMALS) -> Column:
     """Dispatch on the family the column pair is compared in (its own by default)."""
@@ -104,6 +129,8 @@ def norm_by_type(c: Column, dtype: T.DataType, family: str | None = None, fmt: s
         return norm_timestamp(c if family_of(dtype) == TIMESTAMP else c.try_cast("timestamp_ntz"))
     if family == BINARY and family_of(dtype) == BINARY:
         return norm_binary(c)
+    if family == NESTED:
+        return norm_nested(c, dtype, decimals)
     return norm_label(c)
 
 
@@ -120,4 +147,6 @@ def typed_value(c: Column, dtype: T.DataType, family: str, fmt: str | None = Non
         return c.cast("timestamp_ntz") if own == TIMESTAMP else c.try_cast("timestamp_ntz")
     if family == BINARY and own == BINARY:
         return F.hex(c)
+    if family == NESTED:
+        return norm_nested(c, dtype)
     return c.cast("string")

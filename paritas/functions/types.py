@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-NUMBER, TEXT, DATE, TIMESTAMP, BINARY = "number", "text", "date", "timestamp", "binary"
+NUMBER, TEXT, DATE, TIMESTAMP, BINARY, NESTED = "number", "text", "date", "timestamp", "binary", "nested"
 
 # Which right-hand type names a left-hand family may map to.
 COMPATIBLE_RIGHT_TYPES = {
@@ -12,6 +12,7 @@ COMPATIBLE_RIGHT_TYPES = {
     TEXT: r"string|char",
     DATE: r"date|timestamp",
     TIMESTAMP: r"timestamp",
+    NESTED: r"array|map|struct",
 }
 
 # Type names, as written by the common warehouses, per family.
@@ -22,6 +23,7 @@ FAMILY_PATTERNS = [
     (DATE, r"^date\b"),
     (TEXT, r"^(n?(var)?char2?|string|text|clob)\b"),
     (BINARY, r"^(raw|binary|varbinary|blob)\b"),
+    (NESTED, r"^(array|map|struct)\b"),
 ]
 
 
@@ -35,6 +37,8 @@ def family_of(dtype: T.DataType) -> str:
         return TIMESTAMP
     if isinstance(dtype, T.BinaryType):
         return BINARY
+    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+        return NESTED
     return TEXT
 
 

@@ -27,6 +27,7 @@ class ColumnPair:
     left_fmt: str | None = None
     right_fmt: str | None = None
     key_type: str = "bigint"
+    both_float: bool = False
 
     @property
     def name(self) -> str:
@@ -90,7 +91,8 @@ def pair_columns(left: DataFrame, right: DataFrame, mapping: dict[str, str],
     left_fmt, right_fmt = left_fmt or {}, right_fmt or {}
     return [
         ColumnPair(l, r, common_family(left.schema[l].dataType, right.schema[r].dataType),
-                   left_fmt.get(l), right_fmt.get(r), exact_type(left.schema[l].dataType, right.schema[r].dataType))
+                   left_fmt.get(l), right_fmt.get(r), exact_type(left.schema[l].dataType, right.schema[r].dataType),
+                   all(isinstance(t, (T.DoubleType, T.FloatType)) for t in (left.schema[l].dataType, right.schema[r].dataType)))
         for l, r in mapping.items()
     ]
 

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..functions import moments
 from ..functions.normalize import number_text
 from ..functions.types import NUMBER
 from .columns import ColumnPair
@@ -160,25 +161,42 @@ def profile_categorical_top(categorical: DataFrame, by: list[str], top: int = TO
     return _merged([categorical_stats(head, by).drop("missing"), missing, packed], by, "categorical")
 
 
+def _moments(continuous: DataFrame, by: list[str]) -> DataFrame:
+    """Counts, extremes and moments per column; sums are exact per magnitude, so they are the same in any partitioning."""
+    number = F.coalesce(F.col("v_dbl"), F.col("v_long").cast("double"))
+    rows = continuous.select(*by, "column", "v_long", "v_dbl", number.alias("x")).withColumn("magnitude", moments.magnitude(F.col("x")))
+    parts = moments.part_columns(F.col("x"), F.col("magnitude"))
+    grouped = rows.select(*by, "column", "v_long", "v_dbl", "x", "magnitude", *[c.alias(name) for name, c in parts.items()]) \
+        .groupBy(*by, "column", "magnitude").agg(
+            F.count("x").alias("count"), F.count(F.lit(1)).alias("rows"),
+            *[f(c).alias(f"{name}_{c}") for name, f in (("min", F.min), ("max", F.max)) for c in ("v_long", "v_dbl")],
+            F.sum(F.when(~moments.finite(F.col("x")), F.col("x"))).alias("odd"), *moments.part_sums())
+    packed = F.struct("magnitude", *[f"m_{k}" for k in range(moments.SUMS)], *[f"q_{k}" for k in range(moments.SQUARES)])
+    extreme = lambda f, name: F.coalesce(*[f(f"{name}_{c}").cast("string") for c in ("v_long", "v_dbl")])
+    # a handful of magnitudes a column
+    out = grouped.groupBy(*by, "column").agg(
+        F.sum("count").alias("count"), (F.sum("rows") - F.sum("count")).alias("missing"), extreme(F.min, "min").alias("min"), extreme(F.max, "max").alias("max"),
+        F.max("odd").alias("odd"), F.sort_array(F.collect_list(F.when(F.col("magnitude").isNotNull(), packed)), asc=False).alias("groups"))
+    out = out.withColumn("exponent", moments.scale(F.col("groups")))
+    total = lambda prefix, n, powers: moments.total(F.col("groups"), F.col("exponent"), prefix, n, powers)
+    out = out.withColumns({"s": total("m", moments.SUMS, 1), "q": total("q", moments.SQUARES, 2), "unit": F.pow(F.lit(2.0), "exponent")})
+    some, odd = F.col("count") > 0, F.col("odd")
+    value = lambda usual, other: F.when(some, F.when(odd.isNull(), usual).otherwise(other))
+    return out.select(
+        *by, "column", "count", "missing", "min", "max",
+        value(F.col("s.hi") * F.col("unit") / F.col("count"), odd).alias("avg"),
+        value(moments.deviation(F.col("count"), F.col("s"), F.col("q")) * F.col("unit"), F.when(F.col("count") > 1, F.lit(float("nan")))).alias("std"),
+        value(F.col("s.hi") * F.col("unit"), odd).alias("sum"), value(F.col("q.hi") * F.col("unit") * F.col("unit"), F.abs(odd)).alias("sum_sq"))
+
+
 def profile_continuous(continuous: DataFrame, by: list[str]) -> DataFrame:
     number = F.coalesce(F.col("v_dbl"), F.col("v_long").cast("double"))
-    extreme = lambda f: F.coalesce(f("v_long").cast("string"), f("v_dbl").cast("string"))
-    moments = continuous.groupBy(*by, "column").agg(
-        F.count(number).alias("count"),
-        (F.count(F.lit(1)) - F.count(number)).alias("missing"),
-        extreme(F.min).alias("min"),
-        extreme(F.max).alias("max"),
-        F.avg(number).alias("avg"),
-        F.stddev_samp(number).alias("std"),
-        F.sum(number).alias("sum"),
-        F.sum(number * number).alias("sum_sq"),
-    )
     distinct = (
         continuous.where(number.isNotNull())
         .groupBy(*by, "column", "v_long", "v_dbl", "v_text").agg(F.count(F.lit(1)).alias("n"))
         .groupBy(*by, "column").agg(F.count(F.lit(1)).alias("distinct"))
     )
-    return _merged([moments, distinct], by, "continuous")
+    return _merged([_moments(continuous, by), distinct], by, "continuous")
 
 
 def profile_long(values: LongForm, by: list[str], top: int = TOP_VALUES) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import hashing
+from ..sources.results import stored
 from .columns import LEFT, RIGHT, ColumnPair
 
 # Fixed value: how many differing keys a report shows per vintage.
@@ -200,15 +201,17 @@ def fingerprints(df: DataFrame, pairs: list[ColumnPair], side: str, by: list[str
 
 def column_fingerprints(df: DataFrame, pairs: list[ColumnPair], side: str, day: Column | None,
                         by: list[str]) -> DataFrame:
-    """``(by..., column, n, fingerprint)``; each value is digested with its day."""
-    from .profile import unpivot_lanes
+    """``(by..., column, n, fingerprint)``; each value is digested with its day.
 
+    All columns are summed in one aggregate, six limbs each; rows are not multiplied by the columns.
+    """
     when = day if day is not None else F.lit(None).cast("date")
-    dated = df.select("*", when.alias("__day"))
-    lanes = {p.name: {"value": p.normal(df, side)} for p in pairs}
-    long = unpivot_lanes(dated, [*by, "__day"], lanes)
-    digest = hashing.row_md5([F.col("__day"), F.col("value")])
-    return _digested(long.select(*by, "column", digest.alias("digest")), [*by, "column"])
+    digests = df.select(*by, *[hashing.row_md5([when, p.normal(df, side)]).alias(f"d_{i}") for i, p in enumerate(pairs)])
+    names = [f"limb_{k}" for k in range(6)]
+    sums = [F.sum(limb).alias(f"{i}_{k}") for i in range(len(pairs)) for k, limb in zip(names, hashing.fingerprint_limbs(F.col(f"d_{i}")))]
+    summed = digests.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *sums).where("n > 0")
+    rows = F.array(*[F.struct(F.lit(p.name).alias("column"), *[F.col(f"{i}_{k}").alias(k) for k in names]) for i, p in enumerate(pairs)])
+    return summed.select(*by, "n", F.inline(rows)).select(*by, "column", "n", hashing.fingerprint_of_sums().alias("fingerprint"))
 
 
 def _digested(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -258,12 +261,39 @@ def key_bucket(keys: list[Column]) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
+def key_order(keys: list[Column]) -> Column:
+    """A 60-bit number that depends on the key values only: the order in which samples take keys."""
+    text = F.concat_ws(hashing.SEPARATOR, *[hashing.extract_text(k) for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def bottom_keys(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str], k: int) -> DataFrame:
+    """``(__order, key_0...)``: the ``k`` keys of either side that come first in hash order, all of them if there are fewer.
+
+    Only keys below a threshold leave the scan; it starts where ``8 * k`` rows are expected and is raised if repeated keys leave too
+    few, so neither table is sorted or exchanged. The driver reads row counts.
+    """
+    names = [f"key_{i}" for i in range(len(left_keys))]
+    texts = lambda df, keys: df.select(*[F.col(c).cast("string").alias(n) for c, n in zip(keys, names)])
+    both = texts(left, left_keys).unionByName(texts(right, right_keys)).withColumn("__order", key_order([F.col(n) for n in names]))
+    share = 8 * k / max(1, left.count() + right.count())
+    while True:
+        below = both if share >= 1 else both.where(F.col("__order") < int(share * (1 << 60)))
+        found = stored(below.groupBy("__order", *names).agg(F.count(F.lit(1)).alias("n")).drop("n"), "sample-keys")
+        if share >= 1 or found.count() >= k:
+            return found.orderBy("__order", *names).limit(k)
+        share *= 16
+
+
 def hash_sample(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str],
-                rows: int) -> tuple[DataFrame, DataFrame]:
-    """About ``rows`` rows of each side chosen by key hash, under one threshold: both sides hold the same keys."""
-    count = lambda df: df.agg(F.count(F.lit(1))).scalar()
-    share = F.lit(rows).cast("double") / F.greatest(count(left), count(right), F.lit(1))
-    pick = lambda df, keys: df.where(key_bucket([F.col(k) for k in keys]) < share * F.lit(float(1 << 32)))
+                keys: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of exactly ``keys`` keys (if there are so many), the same ones on both sides, chosen by key hash."""
+    chosen = stored(bottom_keys(left, right, left_keys, right_keys, keys), "sample")
+
+    def pick(df: DataFrame, columns: list[str]) -> DataFrame:
+        same = [F.col(c).cast("string").eqNullSafe(F.col(f"key_{i}")) for i, c in enumerate(columns)]
+        return df.join(chosen.drop("__order"), same, "left_semi")  # as many keys as the caller asked for
+
     return pick(left, left_keys), pick(right, right_keys)
 
 

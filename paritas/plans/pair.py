@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import dates
-from ..operators import crosswalk as cw, daycounts, digest_tree, filters, intervals, profile, quality, reports, rowhash
+from ..operators import crosswalk as cw, daycounts, digest_tree, filters, gate, intervals, profile, quality, reports, rowhash
 from ..operators.columns import LEFT, RIGHT, ColumnPair, pair_columns
 from ..sources import catalog
 from ..sources.local import local_rows
@@ -42,6 +42,9 @@ class ReconPair:
     ``vintage_windows(vintage, start_date, end_date)`` gives the vintages in place of ``partition``; windows may overlap, and a
     row counts in each that holds its day. Rows outside of all of them take part in none.
 
+    ``gated`` profiles only columns whose value fingerprints differ. The verdicts are the same; the cardinality of the others,
+    by which key columns are chosen, is then estimated.
+
     ``base`` is the folder on shared storage for what passes between the stages; the session's own if None.
     """
 
@@ -65,6 +68,7 @@ class ReconPair:
     hash_all: bool = False
     base: str | None = None
     vintage_windows: DataFrame | None = None
+    gated: bool = False
     rules: dict = field(default_factory=lambda: dict(quality.STAT_RULES))
 
     def __post_init__(self) -> None:
@@ -247,10 +251,28 @@ class ReconPair:
 
         def side(name: str) -> profile.LongForm:
             df = self.scoped(name).withColumn("side", F.lit(name))
-            return profile.long_form(df, self.columns, name, by, self.normalised_profile)
+            return profile.long_form(df, self._profiled, name, by, self.normalised_profile)
 
         return profile.profile_long(side(LEFT).union(side(RIGHT)), by)
 
+    @cached_property
+    def value_gate(self) -> DataFrame:
+        """``(vintage, column, is_equal)`` by value fingerprints; kept, it has one row per vintage and column."""
+        found = gate.gate(self.scoped(LEFT), self.scoped(RIGHT), self.columns, ["vintage"], self.normalised_profile)
+        return stored(found, f"{self.name}-gate", self.base)
+
+    @cached_property
+    def _profiled(self) -> list[ColumnPair]:
+        """Columns that are profiled; names are read, one per column."""
+        if not self.gated:
+            return self.columns
+        differing = {r["column"] for r in self.value_gate.where("NOT is_equal").select("column").distinct().collect()}
+        return [p for p in self.columns if p.name in differing]
+
+    def _unprofiled(self) -> DataFrame:
+        """The gate's rows of columns that all vintages agree on."""
+        return self.value_gate.where(~F.col("column").isin([p.name for p in self._profiled]))
+
     @cached_property
     def compared(self) -> DataFrame:
         """Statistics side by side with a flag each; kept, as the later stages read it."""
@@ -258,7 +280,13 @@ class ReconPair:
         return stored(flagged, f"{self.name}-statistics", self.base)
 
     def verdicts(self) -> DataFrame:
-        return quality.column_verdicts(self.compared)
+        if len(self._profiled) == len(self.columns):
+            return quality.column_verdicts(self.compared)
+        agreed = [p for p in self.columns if p not in self._profiled]
+        sizes = gate.estimated_distinct(self.scoped(LEFT), agreed, LEFT, ["vintage"])
+        equal = self._unprofiled().groupBy("column").agg(F.count(F.lit(1)).alias("vintages")).join(sizes, "column").select(
+            "column", "vintages", F.lit(0).cast("bigint").alias("vintages_mismatched"), F.lit(False).alias("is_mismatched"), "max_distinct")
+        return quality.column_verdicts(self.compared).unionByName(equal) if self._profiled else equal
 
     def column_check(self) -> DataFrame:
         """One row per column: verdict, cardinality and rank among the key columns; none without comparable columns."""
@@ -269,7 +297,12 @@ class ReconPair:
         return verdicts.join(ranks, "column", "left").select(F.lit(self.name).alias("table_name"), "*")
 
     def match_rates(self) -> DataFrame:
-        return quality.match_rate(self.compared, ["vintage"])
+        if len(self._profiled) == len(self.columns):
+            return quality.match_rate(self.compared, ["vintage"])
+        flags = self._unprofiled().select("vintage", "column", F.col("is_equal").alias("is_match"))
+        if self._profiled:
+            flags = flags.unionByName(self.compared.select("vintage", "column", "is_match"))
+        return quality.match_rate(flags, ["vintage"])
 
     @cached_property
     def _chosen(self) -> tuple[list[ColumnPair], list[ColumnPair]]:

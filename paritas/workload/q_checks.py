@@ -289,10 +289,12 @@ def mismatch_cap(spark, sf):
     return rowhash.capped_mismatches(compared, ["ORDER_ID"], ["vintage"]).withColumnRenamed("ORDER_ID", "order_id")
 
 
+PARTS["c_drawn"] = """SELECT order_id FROM (SELECT order_id FROM c_ol UNION SELECT order_id FROM c_or)
+ORDER BY CAST('0x' || substr(md5(CAST(order_id AS VARCHAR)), 1, 15) AS BIGINT), CAST(order_id AS VARCHAR) LIMIT 1000"""
+
+
 @query("hash_sample_rows", """
-SELECT side, order_id FROM (SELECT 'left' AS side, order_id FROM c_ol UNION ALL SELECT 'right', order_id FROM c_or)
-WHERE CAST('0x' || substr(md5(CAST(order_id AS VARCHAR)), 1, 8) AS BIGINT)
-      < 1000.0 / greatest((SELECT count(*) FROM c_ol), (SELECT count(*) FROM c_or)) * 4294967296.0""")
+SELECT side, order_id FROM (SELECT 'left' AS side, order_id FROM c_ol UNION ALL SELECT 'right', order_id FROM c_or) SEMI JOIN c_drawn USING (order_id)""")
 def hash_sample_rows(spark, sf):
     left, right = rowhash.hash_sample(pairs.orders_left(spark, sf), pairs.orders_right(spark, sf), ["ORDER_ID"], ["order_id"], 1000)
     one = lambda df, key, side: df.select(F.lit(side).alias("side"), F.col(key).alias("order_id"))
@@ -551,6 +553,34 @@ def column_check(spark, sf):
     return pairs.orders_pair(spark, sf).column_check().withColumnRenamed("column", "column_name")
 
 
+def _value_lists(side: str) -> str:
+    return " UNION ALL ".join(f"SELECT vintage, '{c}' AS col, list_sort(list(coalesce(CAST({c.lower()} AS VARCHAR), '~'))) AS vs FROM c_o{side}s GROUP BY 1" for c in ORDER_NAMES)
+
+
+PARTS["c_gate"] = f"""SELECT coalesce(l.vintage, r.vintage) AS vintage, coalesce(l.col, r.col) AS col, coalesce(l.vs = r.vs, false) AS is_equal
+FROM ({_value_lists('l')}) l FULL OUTER JOIN ({_value_lists('r')}) r ON l.vintage = r.vintage AND l.col = r.col"""
+
+
+@query("value_gate", "SELECT vintage, col AS column_name, is_equal FROM c_gate")
+def value_gate(spark, sf):
+    return pairs.orders_pair(spark, sf).value_gate.select("vintage", F.col("column").alias("column_name"), "is_equal")
+
+
+@query("gated_column_check", """
+SELECT col AS column_name, vintages, vintages_mismatched, is_mismatched, NOT g.agreed AS profiled
+FROM c_verdict JOIN (SELECT col, bool_and(is_equal) AS agreed FROM c_gate GROUP BY 1) g USING (col)""")
+def gated_column_check(spark, sf):
+    """The verdicts of the column check, while only columns whose fingerprints differ are profiled."""
+    pair = pairs.orders_pair(spark, sf, gated=True)
+    profiled = F.col("column").isin([p.name for p in pair._profiled])
+    return pair.column_check().select(F.col("column").alias("column_name"), "vintages", "vintages_mismatched", "is_mismatched", profiled.alias("profiled"))
+
+
+@query("gated_match_rates", "SELECT * FROM c_rate")
+def gated_match_rates(spark, sf):
+    return pairs.orders_pair(spark, sf, gated=True).match_rates()
+
+
 @query("hash_check", "SELECT vintage, left_rows, right_rows, matched, left_only, right_only, hash_mismatch FROM c_p3c")
 def hash_check(spark, sf):
     return pairs.orders_pair(spark, sf).hash_check().select("vintage", *big(*_COUNTS))
