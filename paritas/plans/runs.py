@@ -1,15 +1,17 @@
 """A named run of the checks over a list of pairs.
 
-Each stage of each pair is one Parquet table below ``base/run/stage/pair``. A stage that is complete there is not
-computed again, so a run that was cut short goes on where it ended. Pairs run side by side in a bounded pool, and one that fails
-costs its own row of the outcome only.
+Each stage of each pair is one Parquet table below ``base/run/stage/pair``, with a manifest of what it was made from: the input
+files of both sides with size and time, the plans over them, the mapping, the windows and the options. A stage counts as complete
+only under the same manifest; anything else is computed again and replaces what was there. A pair that fails costs its own row of the
+outcome only.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
@@ -25,6 +27,7 @@ STAGES: dict[str, Callable[[ReconPair], DataFrame]] = {
 }
 DONE, RESUMED, FAILED = "DONE", "RESUMED", "FAILED"
 OUTCOME_SCHEMA = "table_name string, stage string, status string, error string"
+MANIFEST_SCHEMA = "digest string, made_from string"
 
 Opener = Callable[[str], DataFrame]
 
@@ -47,6 +50,37 @@ def pair_of(row: Row, open_left: Opener, open_right: Opener, crosswalk: DataFram
         get("left_var"), get("right_var"), **{**asked, **options})
 
 
+def _files(df: DataFrame) -> list[list]:
+    """Name, size and time of the files a table is read from; one listing per folder."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    names, found = set(df.inputFiles()), []
+    for folder in sorted({name.rsplit("/", 1)[0] for name in names}):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        for status in path.getFileSystem(conf).listStatus(path):
+            raw = status.getPath().toUri().getRawPath().rsplit("/", 1)[1]
+            if f"{folder}/{raw}" in names:
+                found.append([folder, raw, status.getLen(), status.getModificationTime()])
+    return sorted(found)
+
+
+def _rows(df: DataFrame | None) -> list[str]:
+    """A small control table as sorted JSON; mappings are as long as a schema, windows as a calendar."""
+    return [] if df is None else sorted(df.toJSON().collect())
+
+
+def made_from(pair: ReconPair) -> dict:
+    """What the results of a pair depend on."""
+    tables = {"left", "right", "crosswalk", "vintage_windows", "rules", "base"}
+    sides = {side: {"files": _files(df), "plan": df.semanticHash(), "schema": df.schema.simpleString()} for side, df in (("left", pair.left), ("right", pair.right))}
+    options = {f.name: getattr(pair, f.name) for f in fields(pair) if f.name not in tables}
+    rules = {name: getattr(rule, "__qualname__", str(rule)) for name, rule in pair.rules.items()}
+    return {**sides, "crosswalk": _rows(pair.crosswalk), "windows": _rows(pair.vintage_windows), "options": options, "rules": rules}
+
+
+def digest_of(told: dict) -> str:
+    return hashlib.sha256(json.dumps(told, sort_keys=True).encode()).hexdigest()
+
+
 @dataclass
 class Run:
     """Stages over pairs below one folder of shared storage."""
@@ -54,39 +88,50 @@ class Run:
     spark: SparkSession
     base: str
     name: str
-    at_once: int = 4
 
     def path(self, stage: str, table: str) -> str:
         return run_path(self.base, self.name, stage, table)
 
-    def complete(self, stage: str, table: str) -> bool:
+    def _manifest(self, stage: str, table: str) -> str:
+        return run_path(self.base, self.name, f"{stage}-manifest", table)
+
+    def _exists(self, path: str) -> bool:
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        mark = jvm.org.apache.hadoop.fs.Path(f"{self.path(stage, table)}/_SUCCESS")
+        mark = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
         return mark.getFileSystem(conf).exists(mark)
 
-    def carry_out(self, makers: dict[str, Callable[[], ReconPair]], stages: Iterable[str] = tuple(STAGES),
-                  only: set[str] | None = None) -> DataFrame:
-        """Run ``stages`` for all pairs, or for those named in ``only``; one row per pair and stage."""
-        stages = list(stages)
-        chosen = {name: make for name, make in makers.items() if only is None or name in only}
-
-        def one(name: str) -> list[tuple]:
-            out, pair = [], None
+    def complete(self, stage: str, table: str, digest: str | None = None) -> bool:
+        """Is the stage's table there, made from what ``digest`` says (or from anything)?"""
+        manifest = self._manifest(stage, table)
+        if not (self._exists(self.path(stage, table)) and self._exists(manifest)):
+            return False
+        return digest is None or [r["digest"] for r in self.spark.read.schema(MANIFEST_SCHEMA).json(manifest).collect()] == [digest]
+
+    def _write(self, stage: str, table: str, result: DataFrame, told: dict) -> None:
+        """The manifest is emptied before the table is replaced and written behind it, so a run cut short leaves no false claim."""
+        manifest = lambda rows: write_result(local_rows(self.spark, rows, MANIFEST_SCHEMA).coalesce(1), self._manifest(stage, table), "json")
+        manifest([])
+        write_result(result, self.path(stage, table))
+        manifest([(digest_of(told), json.dumps(told, sort_keys=True))])
+
+    def carry_out(self, makers: dict[str, Callable[[], ReconPair]], stages: Iterable[str] = tuple(STAGES)) -> DataFrame:
+        """Run ``stages`` for all pairs, one after the other; one row per pair and stage."""
+        rows, stages = [], list(stages)
+        for name, make in makers.items():
+            pair = told = None
             for stage in stages:
                 try:
-                    if self.complete(stage, name):
-                        out.append((name, stage, RESUMED, None))
+                    if pair is None:
+                        pair = make()
+                        told = made_from(pair)
+                    if self.complete(stage, name, digest_of(told)):
+                        rows.append((name, stage, RESUMED, None))
                         continue
-                    pair = pair or chosen[name]()
-                    write_result(STAGES[stage](pair), self.path(stage, name))
-                    out.append((name, stage, DONE, None))
+                    self._write(stage, name, STAGES[stage](pair), told)
+                    rows.append((name, stage, DONE, None))
                 except Exception as error:  # the outcome of a pair, not of the run
                     condition = getattr(error, "getCondition", lambda: None)()
-                    out.append((name, stage, FAILED, condition or type(error).__name__))
-            return out
-
-        with ThreadPoolExecutor(self.at_once) as pool:
-            rows = [row for rows in pool.map(one, chosen) for row in rows]
+                    rows.append((name, stage, FAILED, condition or type(error).__name__))
         return local_rows(self.spark, rows, OUTCOME_SCHEMA)
 
     def results(self, stage: str, tables: Iterable[str], vintages: list[str] | None = None) -> DataFrame | None:

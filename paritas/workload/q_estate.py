@@ -108,11 +108,11 @@ LISTED = [("crm", "Orders (legacy)", "order_dt", "lake.orders", "ORDER_DT", "mon
 _LIST_SCHEMA = "left_svc string, left_tbl string, left_var string, right_tbl string, right_var string, partition string, enabled string, start_dt string, end_dt string"
 
 
-def _listed_makers(spark, sf):
-    """Pairs as the pair list names them; one names a table that does not exist."""
+def _listed_makers(spark, sf, note=None):
+    """Pairs as the pair list names them; one names a table that does not exist. ``note`` is mapped to a column of orders."""
     rows = [(*row[:5], row[5] or None, "yes", None, None) for row in LISTED]
     listed = controls.enabled_pairs(controls.read_pairs(local_rows(spark, rows, _LIST_SCHEMA))).collect()  # as long as the control table
-    mappings = {"orders": pairs.ORDERS_CROSSWALK, "customer": pairs.CUSTOMER_CROSSWALK, "part": pairs.PART_CROSSWALK,
+    mappings = {"orders": [*pairs.ORDERS_CROSSWALK, *([("NOTE", note, None)] if note else [])], "customer": pairs.CUSTOMER_CROSSWALK, "part": pairs.PART_CROSSWALK,
                 "nation": [(c.upper(), c, None) for c in pairs.table(spark, sf, "nation").columns]}
     crosswalk = None
     for name, mapping in mappings.items():
@@ -150,31 +150,32 @@ def run_meta(spark, sf):
 
 
 @query("run_columns", "SELECT 'orders' AS table_name, 'DONE' AS status, count(*) FILTER (WHERE is_mismatched) AS mismatched FROM c_verdict "
-       "UNION ALL SELECT 'nation', 'DONE', 0 UNION ALL SELECT 'gone', 'FAILED', NULL")
+       "UNION ALL SELECT 'customer', 'DONE', 1 UNION ALL SELECT 'part', 'DONE', 1 UNION ALL SELECT 'nation', 'DONE', 0 UNION ALL SELECT 'gone', 'FAILED', NULL")
 def run_columns(spark, sf):
-    makers = _listed_makers(spark, sf)
-    run = Run(spark, results.scratch(spark, "runs"), "nightly")
-    outcome = run.carry_out(makers, ["column_check"], only={"orders", "nation", "gone"})
+    run, makers, outcome = _run(spark, sf, "column_check")
     rows = run.results("column_check", makers).groupBy("table_name").agg(F.count_if("is_mismatched").alias("mismatched"))
     return outcome.select("table_name", "status").join(rows, "table_name", "left")
 
 
 @query("run_hashes", "SELECT 'orders' AS table_name, 'DONE' AS status, CAST(sum(matched) AS BIGINT) AS matched FROM c_p3c "
+       "UNION ALL SELECT 'customer', 'DONE', count(*) FROM customer UNION ALL SELECT 'part', 'DONE', count(*) FROM part "
        "UNION ALL SELECT 'nation', 'DONE', count(*) FROM nation UNION ALL SELECT 'gone', 'FAILED', NULL")
 def run_hashes(spark, sf):
-    makers = _listed_makers(spark, sf)
-    run = Run(spark, results.scratch(spark, "runs"), "nightly")
-    outcome = run.carry_out(makers, ["hash_check"], only={"orders", "nation", "gone"})
+    run, makers, outcome = _run(spark, sf, "hash_check")
     rows = run.results("hash_check", makers).groupBy("table_name").agg(F.sum("matched").cast("bigint").alias("matched"))
     return outcome.select("table_name", "status").join(rows, "table_name", "left")
 
 
 @query("run_resume", " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, '{a}' AS first_run, '{b}' AS second_run, {n} AS left_rows" for t, a, b, n in [
-        *((t, "DONE", "RESUMED", f"(SELECT count(*) FROM {l})") for t, (l, _) in _SIZES.items()), ("gone", "FAILED", "FAILED", "NULL")]))
+    f"SELECT '{t}' AS table_name, '{a}' AS first_run, '{b}' AS second_run, '{c}' AS changed_run, {cols} AS columns, {n} AS left_rows" for t, a, b, c, cols, n in [
+        *((t, "DONE", "RESUMED", "DONE" if t == "orders" else "RESUMED", {"orders": 7, "customer": 5, "part": 6, "nation": 3}[t], f"(SELECT count(*) FROM {l})")
+          for t, (l, _) in _SIZES.items()), ("gone", "FAILED", "FAILED", "FAILED", "NULL", "NULL")]))
 def run_resume(spark, sf):
+    """A second run resumes; after a change of one pair's mapping that pair alone is computed again."""
     run, makers, first = _run(spark, sf, "meta_check")
     second = run.carry_out(makers, ["meta_check"])
-    rows = run.results("meta_check", makers).groupBy("table_name").agg(F.sum("day_rows_left").alias("left_rows"))
-    both = first.select("table_name", F.col("status").alias("first_run")).join(second.select("table_name", F.col("status").alias("second_run")), "table_name")
-    return both.join(rows, "table_name", "left")
+    changed = _listed_makers(spark, sf, note="note")
+    third = run.carry_out(changed, ["meta_check"])
+    rows = run.results("meta_check", changed).groupBy("table_name").agg(F.max("comparable_columns").alias("columns"), F.sum("day_rows_left").alias("left_rows"))
+    told = lambda outcome, name: outcome.select("table_name", F.col("status").alias(name))
+    return told(first, "first_run").join(told(second, "second_run"), "table_name").join(told(third, "changed_run"), "table_name").join(rows, "table_name", "left")

@@ -201,3 +201,29 @@ def test_a_step_written_again_replaces_its_rows(spark, tmp_path):
         results.write_run(rows(n), base, run, step)
     got = {(r["run_name"], r["step"]): r["count"] for r in results.read_result(spark, base).groupBy("run_name", "step").count().collect()}
     assert got == {("a", "meta"): 5, ("b", "meta"): 2}
+
+
+# ---------------------------------------------------------------- runs that know their inputs
+
+
+def test_a_stage_is_complete_only_for_what_it_was_made_from(spark, tmp_path):
+    from paritas.plans import Run
+
+    data, mapping = str(tmp_path / "left"), [("K", "k", False), ("V", "v", False)]
+    spark.range(20).selectExpr("id AS K", "'v' AS V").write.parquet(data)
+
+    def makers(mapping=mapping, **options):
+        crosswalk = spark.createDataFrame(mapping, "left_col string, right_col string, is_tokenized boolean")
+        left = spark.read.parquet(data)
+        return {"t": lambda: ReconPair("t", left, left.toDF("k", "v"), crosswalk, **options), "bad": lambda: ReconPair("bad", left, left, crosswalk, "K", None)}
+
+    run = Run(spark, str(tmp_path / "runs"), "nightly")
+    told = lambda makers: {r["table_name"]: r["status"] for r in run.carry_out(makers, ["meta_check"]).collect()}
+    assert told(makers()) == {"t": "DONE", "bad": "FAILED"}
+    assert told(makers()) == {"t": "RESUMED", "bad": "FAILED"}
+    assert told(makers(mapping[:1]))["t"] == "DONE" and told(makers(mapping[:1]))["t"] == "RESUMED"
+    assert run.results("meta_check", ["t", "bad"]).first()["comparable_columns"] == 1
+    assert told(makers(left_where="K < 5"))["t"] == "DONE"
+    assert told(makers())["t"] == "DONE" and told(makers())["t"] == "RESUMED"
+    spark.range(5).selectExpr("id AS K", "'w' AS V").write.mode("append").parquet(data)
+    assert told(makers())["t"] == "DONE" and run.results("meta_check", ["t"]).first()["day_rows_left"] == 25
