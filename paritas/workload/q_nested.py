@@ -66,11 +66,13 @@ def nested_hash_check(spark, sf):
     return pair.hash_check().join(per_vintage, "vintage", "left").select("vintage", *big(*counts), F.coalesce("changed", F.lit("")).alias("changed"))
 
 
-@query("nested_column_check", """
-SELECT col AS column_name, count(*) AS vintages, count(*) FILTER (WHERE k = 'MARKS' AND bad > 0) AS vintages_mismatched
-FROM (SELECT vintage, count(*) FILTER (WHERE order_id % 31 = 0) AS bad FROM c_nested GROUP BY 1), (SELECT unnest(['ORDER_ID', 'ORDER_DT', 'NUMBERS', 'DETAIL', 'MARKS']) AS col, col AS k) GROUP BY 1""")
-def nested_column_check(spark, sf):
+@query("nested_value_gate", """
+SELECT col AS column_name, count(*) AS vintages, count(*) FILTER (WHERE col = 'MARKS' AND bad > 0) AS vintages_differing
+FROM (SELECT vintage, count(*) FILTER (WHERE order_id % 31 = 0) AS bad FROM c_nested GROUP BY 1), (SELECT unnest(['ORDER_ID', 'ORDER_DT', 'NUMBERS', 'DETAIL', 'MARKS']) AS col) GROUP BY 1""")
+def nested_value_gate(spark, sf):
+    """Fingerprints of nested values: equal where only the order of fields and entries, the spelling or the number types differ."""
     names = ["ORDER_ID", "ORDER_DT", "NUMBERS", "DETAIL", "MARKS"]
     pair = ReconPair("nested", _nested_left(spark, sf), _nested_right(spark, sf), pairs.crosswalk(spark, [(c, c.lower(), None) for c in names]),
-                     "ORDER_DT", "order_dt", partition="month", gated=True, normalised_profile=True)
-    return pair.column_check().select(F.col("column").alias("column_name"), "vintages", "vintages_mismatched")
+                     "ORDER_DT", "order_dt", partition="month", normalised_profile=True)
+    return pair.value_gate.groupBy(F.col("column").alias("column_name")).agg(
+        F.count(F.lit(1)).alias("vintages"), F.count_if(~F.col("is_equal")).alias("vintages_differing"))
