@@ -283,7 +283,7 @@ def test_huge_texts_with_and_without_blanks():
     counter = token_counts.WordCounter(public_tokenizers.path("word_bpe_49k.json"))
     rng = random.Random(4)
     for text in (" ".join("".join(rng.choices("abcde", k=rng.randint(1, 9))) for _ in range(12_000)), "ab,c" * 15_000, " " * 40_000, "x " + "é" * 30_000 + " y" * 9000):
-        assert len(text) > token_counts.HUGE or len(text) == 40_000 or True
+        assert len(text) > token_counts.HUGE
         assert token_counts.spliced_count(text, counter.encode) == len(counter.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
