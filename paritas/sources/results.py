@@ -18,10 +18,20 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster shares for intermediate tables.
 
     Taken from ``spark.checkpoint.dir`` or the context's checkpoint folder; a session that has neither writes below
-    its warehouse, which is shared as well.
+    its warehouse, unless that is a folder of the driver's machine which the executors of a cluster do not see.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    if configured:
+        return configured
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return below_warehouse(warehouse, spark.sparkContext.master)
+
+
+def below_warehouse(warehouse: str, master: str) -> str:
+    on_one_machine = warehouse.startswith("file:") or ":" not in warehouse
+    if on_one_machine and not master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir (or a base) to a folder that all machines share")
+    return f"{warehouse}/scratch"
 
 
 def scratch(spark: SparkSession, label: str, base: str | None = None) -> str:

@@ -203,6 +203,14 @@ def test_a_step_written_again_replaces_its_rows(spark, tmp_path):
     assert got == {("a", "meta"): 5, ("b", "meta"): 2}
 
 
+def test_scratch_on_a_cluster_needs_a_shared_folder():
+    assert results.below_warehouse("file:/a/wh", "local[8]") == "file:/a/wh/scratch"
+    assert results.below_warehouse("hdfs://n/wh", "yarn") == "hdfs://n/wh/scratch"
+    for warehouse in ("file:/a/wh", "/a/wh"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            results.below_warehouse(warehouse, "yarn")
+
+
 # ---------------------------------------------------------------- runs that know their inputs
 
 
