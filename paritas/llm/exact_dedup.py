@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from paritas.llm.common import let, squeezed, stored
+from paritas.llm.common import let, squeezed, stored, text_of
 
 SPACING = 64
 #: Identifiers from narrow to wide; the first without a clash is used.
@@ -29,6 +29,11 @@ IDENTIFIERS = (
 
 def chunks_of(text: Column, spacing: int = SPACING) -> Column:
     """The chunks of the squeezed text; joined by single spaces they are the text."""
+    return _chunks(squeezed(text), spacing)
+
+
+def _chunks(flat: Column, spacing: int) -> Column:
+    """The chunks of a text that is squeezed already."""
 
     def cut(words: Column) -> Column:
         def pieces(ends: Column) -> Column:
@@ -38,11 +43,12 @@ def chunks_of(text: Column, spacing: int = SPACING) -> Column:
 
             return F.transform(ends, piece)
 
+        # the last word's hash has no neighbour in it; its mark, if any, is the end that is added anyway
         marks = F.transform(words, lambda w, i: F.when(
-            (i == F.size(words) - 1) | (F.pmod(F.xxhash64(w, F.get(words, i + 1)), F.lit(spacing)) == 0), i + 1))
-        return let(F.array_compact(marks), pieces)
+            F.xxhash64(w, F.get(words, i + 1)) % F.lit(spacing).cast("long") == 0, i + 1))
+        return let(F.array_distinct(F.concat(F.array_compact(marks), F.array(F.size(words)))), pieces)
 
-    return let(F.split(squeezed(text), " "), cut)
+    return let(F.split(flat, " "), cut)
 
 
 def _verified(chunked: DataFrame) -> int:
@@ -57,16 +63,15 @@ def _verified(chunked: DataFrame) -> int:
 def copies(docs: DataFrame, spacing: int = SPACING) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row.
 
-    Groups are counted before the shuffle; the join back is on the recipe, where adaptive execution splits a group
+    The words of a text are looked at once: its chunks are written to the shared folder, from where they are verified and
+    turned into recipes. Groups are counted before the shuffle; the join back is on the recipe, where adaptive execution splits a group
     that is a large part of all rows.
     """
-    text = F.col("text")
-    chunked = docs.select(chunks_of(text, spacing).alias("chunks"))
+    text = docs.select("doc_id", text_of(F.col("text")).alias("own"), squeezed(F.col("text")).alias("flat"))
+    chunked = stored(text.select(
+        "doc_id", F.xxhash64("own").alias("fp"), F.sha2("flat", 256).alias("text_sha256"), _chunks(F.col("flat"), spacing).alias("chunks")), "chunks")
     identifier = IDENTIFIERS[_verified(chunked)]
-    rows = docs.select(
-        "doc_id", F.xxhash64(F.coalesce(text, F.lit(""))).alias("fp"), F.sha2(squeezed(text), 256).alias("text_sha256"),
-        F.array_join(F.transform(chunks_of(text, spacing), identifier), " ").alias("recipe"))
-    rows = stored(rows, "recipes")
+    rows = stored(chunked.select("doc_id", "fp", "text_sha256", F.array_join(F.transform("chunks", identifier), " ").alias("recipe")), "recipes")
     groups = rows.groupBy(F.col("recipe").alias("group_recipe")).agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     rows = rows.join(groups, F.col("recipe") == F.col("group_recipe")).drop("recipe", "group_recipe")
     same = W.partitionBy("doc_id", "text_sha256").orderBy("fp")
