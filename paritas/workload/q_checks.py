@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import compare, dates
 from ..functions.types import NUMBER
-from ..operators import profile, quality, reports, rowhash
+from ..operators import profile, quality, reports, rowhash, top_values
 from ..operators.columns import same_columns
 from ..sources import scan
 from ..plans import ReconPair
@@ -84,6 +84,21 @@ def top_freq_string(spark, sf):
     return top.select("vintage", F.col("column").alias("column_name"), compare.freq_text(F.col("freq")).alias("freq"))
 
 
+PARTS["c_keyfreq"] = frequencies_sql("c_lly", {
+    "LINE_KEY": "'line-of-order-' || order_id || '-' || line_no", "PART_TXT": "CASE WHEN part_id % 50 = 0 THEN NULL ELSE CAST(part_id AS VARCHAR) END",
+    "RFLAG": "rflag"})
+
+
+@query("top_values_recounted", "SELECT vintage, col AS column_name, v AS value, n, CAST(rn AS INTEGER) AS rn FROM c_keyfreq WHERE rn <= 10")
+def top_values_recounted(spark, sf):
+    """Top values of a key, a number with gaps and a flag by summary, bound and recount."""
+    lines = _lines_by(spark, sf, "year").withColumns({
+        "LINE_KEY": F.concat(F.lit("line-of-order-"), F.col("ORDER_ID").cast("string"), F.lit("-"), F.col("LINE_NO").cast("string")),
+        "PART_TXT": F.when(F.col("PART_ID") % 50 != 0, F.col("PART_ID").cast("string"))})
+    found = top_values.top_values(_profile(lines, ["LINE_KEY", "PART_TXT", "RFLAG"]).categorical, ["vintage"])
+    return found.select("vintage", F.col("column").alias("column_name"), F.col("v_text").alias("value"), "n", "rn")
+
+
 @query("vintage_profile", f"SELECT vintage, {SHOWN_STATS_SQL} FROM c_sl UNION ALL SELECT vintage, {SHOWN_STATS_SQL} FROM c_sr")
 def vintage_profile(spark, sf):
     return shown_stats(pairs.orders_pair(spark, sf).stats(), ["vintage"])
