@@ -65,24 +65,39 @@ def compare_keys(left: DataFrame, right: DataFrame, keys: list[str], by: list[st
     """
     if not keys:
         raise ValueError("no key columns: compare as multisets with compare_multisets")
-    per_hash = _stacked(left, right, [*by, *keys])
+    return _per_key(_stacked(left, right, [*by, *keys]), [*by, *keys])
+
+
+def compare_counted(left: DataFrame, right: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """:func:`compare_keys` of ``(by..., key..., hash_bin, n)``, rows that are counted already."""
+    none = F.lit(0).cast("bigint")
+    side = lambda df, l, r: df.select(*by, *keys, "hash_bin", l.alias("in_left"), r.alias("in_right"))
+    both = side(left, F.col("n"), none).unionByName(side(right, none, F.col("n")))
+    return _per_key(both.groupBy(*by, *keys, "hash_bin").agg(F.sum("in_left").alias("in_left"), F.sum("in_right").alias("in_right")), [*by, *keys])
+
+
+def _per_key(per_hash: DataFrame, group: list[str]) -> DataFrame:
     l, r = F.col("in_left"), F.col("in_right")
     in_left, in_right = F.when(l > 0, F.col("hash_bin")), F.when(r > 0, F.col("hash_bin"))
     # pair counts of a hot key outgrow BIGINT: 3e11 rows a side make 1e23 pairs
     wide = lambda c: c.cast("decimal(19,0)")
-    per_key = per_hash.groupBy(*by, *keys).agg(
+    per_key = per_hash.groupBy(*group).agg(
         F.sum(l).alias("n_left"),
         F.sum(r).alias("n_right"),
         F.sum(wide(l) * wide(r)).alias("matched"),
         F.min(in_left).alias("left_low"), F.max(in_left).alias("left_high"),
         F.min(in_right).alias("right_low"), F.max(in_right).alias("right_high"),
     )
-    mismatch = (wide(F.col("n_left")) * wide(F.col("n_right")) - F.col("matched")).cast("decimal(38,0)")
+    return told(per_key, (wide(F.col("n_left")) * wide(F.col("n_right")) - F.col("matched")).cast("decimal(38,0)"), group)
+
+
+def told(per_key: DataFrame, mismatch: Column, group: list[str]) -> DataFrame:
+    """One row per key with its status and, where there is one, a differing pair of hashes."""
     # lowest left against highest right differs unless both are one and the same value
     low_high = ~F.col("left_low").eqNullSafe(F.col("right_high"))
     shown = lambda a, b: F.hex(F.when(low_high, F.col(a)).otherwise(F.col(b)))
     return per_key.select(
-        *by, *keys, "n_left", "n_right", "matched",
+        *group, "n_left", "n_right", "matched",
         mismatch.alias("hash_mismatch"),
         shown("left_low", "left_high").alias("left_hash"),
         shown("right_high", "right_low").alias("right_hash"),

@@ -14,11 +14,12 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import dates
-from ..operators import crosswalk as cw, daycounts, digest_tree, filters, gate, intervals, profile, quality, reports, rowhash
+from ..operators import crosswalk as cw, daycounts, digest_tree, filters, gate, intervals, kept_hashes, profile, quality, reports, rowhash
 from ..operators.columns import LEFT, RIGHT, ColumnPair, pair_columns
 from ..sources import catalog
 from ..sources.local import local_rows
-from ..sources.results import stored
+from ..sources.results import exists, stored
+from ..sources.scan import files_of
 
 ALL = "all"
 
@@ -348,6 +349,27 @@ class ReconPair:
             return rowhash.multiset_counts(self.hashes(LEFT, scoped), self.hashes(RIGHT, scoped), ["vintage"])
         return rowhash.compare_counts(self.compared_rows(scoped), ["vintage"])
 
+    def _left_made_from(self) -> dict:
+        """What the kept hashes of the left side depend on; the right side counts with its types, which decide how values are written."""
+        hashed, keys = self._chosen
+        given = ("left_date", "partition", "start", "end", "left_where", "left_fmt")
+        windows = None if self.vintage_windows is None else sorted(self.vintage_windows.toJSON().collect())
+        return {"files": files_of(self.left), "plan": self.left.semanticHash(), "schemas": [self.left.schema.simpleString(), self.right.schema.simpleString()],
+                "columns": [str(hashed), str(keys)], "windows": windows, **{name: getattr(self, name) for name in given}}
+
+    def keep_left(self, path: str, buckets: int = kept_hashes.BUCKETS) -> kept_hashes.KeptHashes:
+        """The row hashes of the left side below ``path``, bucketed by key; taken as they are if nothing they were made from has changed."""
+        spark, digest = self.left.sparkSession, kept_hashes.digest_of(self._left_made_from())
+        if exists(spark, f"{path}/note/_SUCCESS"):
+            kept = kept_hashes.opened(spark, path)
+            if kept.digest == digest and kept.buckets >= buckets:
+                return kept
+        return kept_hashes.keep(self.hashes(LEFT, scoped=False), path, [k.name for k in self._chosen[1]], ["vintage"], buckets, digest=digest)
+
+    def compared_to_kept(self, kept: kept_hashes.KeptHashes) -> DataFrame:
+        """``compared_rows(scoped=False)`` with the left side from what is kept: only rows of the right one are exchanged."""
+        return kept_hashes.compare(kept, self.hashes(RIGHT, scoped=False))
+
     def sides(self, scoped: bool = True) -> digest_tree.Sides:
         """Both tables as the search for differences sees them."""
         hashed, keys = self._chosen

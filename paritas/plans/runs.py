@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from ..sources.local import local_rows
 from ..sources.results import run_path, write_result
+from ..sources.scan import files_of
 from .pair import ALL, ReconPair
 
 STAGES: dict[str, Callable[[ReconPair], DataFrame]] = {
@@ -50,19 +51,6 @@ def pair_of(row: Row, open_left: Opener, open_right: Opener, crosswalk: DataFram
         get("left_var"), get("right_var"), **{**asked, **options})
 
 
-def _files(df: DataFrame) -> list[list]:
-    """Name, size and time of the files a table is read from; one listing per folder."""
-    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    names, found = set(df.inputFiles()), []
-    for folder in sorted({name.rsplit("/", 1)[0] for name in names}):
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
-        for status in path.getFileSystem(conf).listStatus(path):
-            raw = status.getPath().toUri().getRawPath().rsplit("/", 1)[1]
-            if f"{folder}/{raw}" in names:
-                found.append([folder, raw, status.getLen(), status.getModificationTime()])
-    return sorted(found)
-
-
 def _rows(df: DataFrame | None) -> list[str]:
     """A small control table as sorted JSON; mappings are as long as a schema, windows as a calendar."""
     return [] if df is None else sorted(df.toJSON().collect())
@@ -71,7 +59,7 @@ def _rows(df: DataFrame | None) -> list[str]:
 def made_from(pair: ReconPair) -> dict:
     """What the results of a pair depend on."""
     tables = {"left", "right", "crosswalk", "vintage_windows", "rules", "base"}
-    sides = {side: {"files": _files(df), "plan": df.semanticHash(), "schema": df.schema.simpleString()} for side, df in (("left", pair.left), ("right", pair.right))}
+    sides = {side: {"files": files_of(df), "plan": df.semanticHash(), "schema": df.schema.simpleString()} for side, df in (("left", pair.left), ("right", pair.right))}
     options = {f.name: getattr(pair, f.name) for f in fields(pair) if f.name not in tables}
     rules = {name: getattr(rule, "__qualname__", str(rule)) for name, rule in pair.rules.items()}
     return {**sides, "crosswalk": _rows(pair.crosswalk), "windows": _rows(pair.vintage_windows), "options": options, "rules": rules}

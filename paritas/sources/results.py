@@ -62,6 +62,16 @@ def _discard(spark: SparkSession, path: str) -> None:
         pass
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def write_result(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Write one step result; snappy parquet, JSON lines, or CSV with a header."""
     options = {"parquet": {"compression": "snappy"}, "csv": {"header": "true"}, "json": {"ignoreNullFields": "false"}}
@@ -83,8 +93,7 @@ def write_run(df: DataFrame, base: str, run: str, step: str, fmt: str = "parquet
     An empty result replaces nothing, so a step that has become empty is removed first.
     """
     spark = df.sparkSession
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/run_name={run}/step={step}")
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    remove(spark, f"{base.rstrip('/')}/run_name={run}/step={step}")
     tagged = df.withColumns({"run_name": F.lit(run), "step": F.lit(step)})
     tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_name", "step").format(fmt).save(base)
     return base

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import digest_tree, intervals
+from ..operators import digest_tree, intervals, rowhash
+from ..sources.results import scratch
 from . import pairs
 from .registry import query
 from .shape import big, text
@@ -72,6 +73,25 @@ def changed_columns_of_samples(spark, sf):
         "vintage", F.col("ORDER_ID").alias("order_id"), F.array_join("changed", ",").alias("changed"))
 
 
+@query("hash_check_kept", "SELECT * FROM c_a14")
+def hash_check_kept(spark, sf):
+    """Counts of the hash check with the left side kept in buckets and opened again."""
+    pair, path = _orders(spark, sf), scratch(spark, "kept-orders")
+    pair.keep_left(path, buckets=16)
+    counts = rowhash.compare_counts(pair.compared_to_kept(pair.keep_left(path, buckets=16)), ["vintage"])
+    return counts.select("vintage", *big("left_rows", "right_rows", "matched", "left_only", "right_only", "hash_mismatch"))
+
+
+@query("kept_hashes_by_key", """
+SELECT vintage, order_id, CAST(count(left_hash) AS BIGINT) AS n_left, CAST(count(right_hash) AS BIGINT) AS n_right,
+  count(*) FILTER (WHERE status = 'matched') AS matched, count(*) FILTER (WHERE status = 'hash_mismatch') AS hash_mismatch,
+  min(left_hash) AS left_hash, max(right_hash) AS right_hash, min(status) AS status FROM c_j1 GROUP BY 1, 2""")
+def kept_hashes_by_key(spark, sf):
+    pair = _orders(spark, sf)
+    found = pair.compared_to_kept(pair.keep_left(scratch(spark, "kept-orders"), buckets=16))
+    return found.select("vintage", F.col("ORDER_ID").alias("order_id"), *big("n_left", "n_right", "matched", "hash_mismatch"), "left_hash", "right_hash", "status")
+
+
 # ---------------------------------------------------------------- given windows
 
 # every month that has orders gives an overlapping window of 75 days, a reversed one, and one open at the end each January
