@@ -48,7 +48,14 @@ def stored(df: DataFrame, label: str, base: str | None = None) -> DataFrame:
     """
     path = scratch(df.sparkSession, label, base)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Remove a stored stage whose successors are written; the program's end would do it later."""
+    remove(df.sparkSession, df.scratch_path)
 
 
 def _discard(spark: SparkSession, path: str) -> None:
