@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paritas.sources.results import stored
+from paritas.sources.results import dropped, stored
 
-__all__ = ["BLANKS", "bare", "crc_bucket", "fresh", "let", "n_words_of", "read", "squeezed", "stored", "text_of", "words_of"]
+__all__ = ["BLANKS", "bare", "crc_bucket", "dropped", "fresh", "let", "n_words_of", "read", "squeezed", "stored", "text_of", "words_of"]
 
 BLANKS = "\t\n\x0b\x0c\r "
 BLANK_RUN = r"[\x20\x09-\x0D]+"

@@ -2,7 +2,7 @@
 
 Rounds of large-star and small-star steps (each a grouped minimum and a join) until the edges are stars around the
 least node of each component. Every round is written to the shared folder, so no lineage grows and lost executors
-cost a reread. A node with very many neighbours is a grouped minimum that starts per task, and a join that
+cost a reread; the round before it is dropped then. A node with very many neighbours is a grouped minimum that starts per task, and a join that
 adaptive execution splits.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paritas.llm.common import stored
+from paritas.llm.common import dropped, stored
 
 
 def _hooked(pairs: DataFrame, keep_own: bool) -> DataFrame:
@@ -39,5 +39,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy(F.col("u").alias("hub")).agg(F.min("v").alias("least")).select("hub", F.least("hub", "least").alias("least"))
         large = both.where("v > u").join(least, F.col("u") == F.col("hub")) \
             .select(F.col("v").alias("u"), F.col("least").alias("v")).where("u <> v").distinct()
-        pairs = stored(_hooked(large, True).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    return pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        last, pairs = pairs, stored(_hooked(large, True).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        dropped(last)
+    out = pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    out.scratch_path = pairs.scratch_path
+    return out

@@ -6,8 +6,8 @@ bins; the least value in each bin is its sketch, and an empty bin copies the bin
 (bin, attempt) first finds filled. Runs of ``ROWS`` bins are the bands. In each bucket of a band, edges go from
 every member to the bucket's least representative first: pairs stay linear in the rows. Candidates are confirmed on
 the full sets by integer arithmetic. Then components are formed, and further rounds offer stars around other
-centres (the greatest, and one drawn anew for each bucket) where a bucket still holds several components, so a link
-that one centre misses is found by another. There are at least ``rounds`` of them, and they go on while they find links.
+centres (the greatest, and one drawn anew for each bucket) where a bucket still holds several components, one edge
+for each component, so a link that one centre misses is found by another. Components grow from round to round. There are at least ``rounds`` of them, and they go on while they find links.
 What the stars leave is tested exactly: every pair that shares a bucket and still lies in two components is compared on
 the full sets, unless too few of a set's shingles stand in a second component for any link.
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paritas.llm.common import fresh, stored, text_of
+from paritas.llm.common import dropped, fresh, stored, text_of
 from paritas.llm.graph import components
 
 BINS, ROWS = 128, 4
@@ -273,6 +273,26 @@ def _exact_links(shared: DataFrame, sets: DataFrame, links: DataFrame, percent:
     return stored(cells.groupBy("cluster", "i", "j", "with_main").applyInPandas(_compared(percent), f"u {kind}, v {kind}"), "links")
 
 
+def _offers(shared: DataFrame, comps: DataFrame, turn: int) -> DataFrame:
+    """u, v: in each bucket that holds several components one edge for each of them, from a drawn member to a centre outside it.
+
+    The centre is a member drawn from the whole bucket, in the first turn also the least and the greatest. A component that fills a
+    bucket sends one edge, not one for each member.
+    """
+    labelled = shared.join(comps, F.col("class_id") == F.col("node"), "left").withColumn("part", F.coalesce("component", "class_id"))
+    draw = F.struct(F.xxhash64("class_id", "key", F.lit(turn)).alias("draw"), F.col("class_id").alias("id"))
+    parts = labelled.groupBy("key", "part").agg(F.min(draw).alias("some"), F.min("class_id").alias("least"), F.max("class_id").alias("most"))
+    centre = lambda pick, *by: pick(F.struct(*by, F.col("part").alias("of")))
+    some = centre(F.min, F.col("some.draw").alias("draw"), F.col("some.id").alias("id")).alias("some_centre")
+    hubs = parts.groupBy(F.col("key").alias("hub_key")).agg(
+        some, centre(F.min, F.col("least").alias("id")).alias("lo"), centre(F.max, F.col("most").alias("id")).alias("hi"),
+        F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
+    as_centre = lambda name: F.struct(F.col(f"{name}.id").alias("id"), F.col(f"{name}.of").alias("of"))
+    centres = F.array(*[as_centre(name) for name in (("lo", "hi", "some_centre") if turn == 0 else ("some_centre",))])
+    offered = parts.join(hubs, F.col("key") == F.col("hub_key")).select("part", F.col("some.id").alias("from_id"), F.inline(centres)).where("part <> of")
+    return offered.select(F.greatest("from_id", "id").alias("u"), F.least("from_id", "id").alias("v")).distinct()
+
+
 def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: int = BINS, rows: int = ROWS,
                 rounds: int = 3) -> DataFrame:
     """doc_id, fp, n_shingles, component_id for every row of ``docs`` (fp tells apart texts under one id)."""
@@ -291,25 +311,15 @@ def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bin
     sets = _sets_of(docs, shared.select(F.col("class_id").alias("wanted")), width)
     first = stored(shared.where("class_id > lo").groupBy("class_id").agg(F.min("lo").alias("v")).select(F.col("class_id").alias("u"), "v"), "offered")
     links = stored(_confirmed(sets, first, percent), "links")
-    tested, found, turn = first, 1, 0
+    tested, found, turn, comps = first, 1, 0, components(links)
     while found or turn < rounds:
-        comps = components(links)
-        labelled = shared.join(comps, F.col("class_id") == F.col("node"), "left") \
-            .withColumn("part", F.coalesce("component", "class_id")).drop("node", "component")
-        draw = F.struct(F.xxhash64("class_id", "key", F.lit(turn)).alias("draw"), F.col("class_id").alias("id"))
-        hubs = labelled.groupBy(F.col("key").alias("hub_key")).agg(F.min(draw).alias("some"), F.min("part").alias("p"), F.max("part").alias("q")) \
-            .where("p < q").select("hub_key", F.col("some.id").alias("some"))
-        open_rows = labelled.join(hubs, F.col("key") == F.col("hub_key"))
-        centres = F.array("lo", "hi", "some") if turn == 0 else F.array("some")
-        offered = open_rows.select("class_id", "part", F.explode(centres).alias("other")).where("class_id <> other").distinct()
-        hub_parts = comps.select(F.col("node").alias("hub"), F.col("component").alias("hub_part"))
-        offered = offered.join(hub_parts, F.col("other") == F.col("hub"), "left") \
-            .where(F.col("part") != F.coalesce("hub_part", "other")) \
-            .select(F.greatest("class_id", "other").alias("u"), F.least("class_id", "other").alias("v")).distinct()
-        offered = stored(offered.join(tested, ["u", "v"], "left_anti"), "offered")
+        offered = stored(_offers(shared, comps, turn).join(tested, ["u", "v"], "left_anti"), "offered")
         new = stored(_confirmed(sets, offered, percent), "links")
         found, turn = new.count(), turn + 1
         links, tested = links.unionAll(new), tested.unionAll(offered)
+        if found:  # the stars of the last round stand for its links
+            last, comps = comps, components(comps.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(new))
+            dropped(last)
     exact = _exact_links(shared, sets, links, percent)
     links = links if exact is None else links.unionAll(exact)
     comps = components(links)
