@@ -1,10 +1,12 @@
 """Cross-document line frequency: boilerplate lines go, and so do documents they leave depleted.
 
-Lines are normalised (blanks squeezed, letters lowered) and hashed. For each host (``source``)
-the number of distinct texts on which a line stands is counted, so exact copies of a document count once and
-a copied document is not mistaken for boilerplate. A line is removed on a host when it stands on more than
-``max_docs`` texts and on more than ``max_share`` of the host's texts. A document fails when its own text is
-too short or repeats itself, or when less than ``min_left`` of its words is left.
+Lines are normalised (blanks squeezed, letters lowered) and hashed. A line is a candidate on a host (``source``) when it stands
+on more than ``max_docs`` of the host's distinct texts, however large the host. Exact copies of a document count once. So that near
+copies are not mistaken for boilerplate either, a text which would lose more than ``1 - min_left`` of the words of its distinct lines to
+candidates does not count by itself, but once for all texts that share its least candidate line: members of a family share nearly
+all of their lines, so a family counts a few times, whatever its size. A candidate that still stands on more than ``max_docs`` of such
+classes is removed on the host. A document fails when its own text is too short or repeats itself, or when less than ``min_left`` of its
+words is left.
 
 Defined results: null text is empty and fails; a null source is a host of its own; blank lines are neither
 counted nor removed; repeated rows get equal results; an empty table gives an empty result. Other columns
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from paritas.llm.common import bare, fresh, let, squeezed, stored, text_of, words_of
 
-MAX_DOCS, MAX_SHARE, MIN_LEFT = 20, 0.03, 0.5
+MAX_DOCS, MIN_LEFT = 20, 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 SYMBOLS = "#*$%&|<>"
 
@@ -49,9 +51,9 @@ def _repeat_words(words: Column) -> Column:
 
 
 def line_hashes(text: Column) -> Column:
-    """One hash per ``\\n``-split line, null for a line without a word."""
-    return F.transform(F.split(F.lower(text_of(text)), "\n"),
-                       lambda line: F.when(bare(line) != "", F.xxhash64(squeezed(bare(line)))))
+    """One hash per ``\\n``-split line (60 bits of its MD5, so that SQL can order lines alike), null for a line without a word."""
+    hashed = lambda line: F.conv(F.substring(F.md5(squeezed(bare(line)).cast("binary")), 1, 15), 16, 10).cast("long")
+    return F.transform(F.split(F.lower(text_of(text)), "\n"), lambda line: F.when(bare(line) != "", hashed(line)))
 
 
 def text_facts(docs: DataFrame) -> DataFrame:
@@ -86,35 +88,48 @@ def _lines(text: Column) -> Column:
     return F.filter(pairs, lambda x: x["line"].isNotNull())
 
 
-def frequent_lines(lined: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """host, line, line_docs: lines above the limits of their host, of ``lined(host, fp, lines)``.
+def frequent_lines(lined: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
+    """limit_host, limit_line: lines above the limit of their host, of ``lined(host, fp, lines)``.
 
-    Both counts start per task; a host or line that holds a third of all rows is a handful of rows by then.
+    All counts start per task; a host or line that holds a third of all rows is a handful of rows by then. Only
+    candidates meet again: at most one line in ``max_docs``.
     """
-    texts = lined.select("host", "fp", F.explode(F.array_distinct("lines.line")).alias("line")).distinct()
-    on = texts.groupBy("host", "line").agg(F.count("*").alias("line_docs")).where(F.col("line_docs") > max_docs)
-    hosts = lined.select(F.col("host").alias("host_key"), "fp").distinct().groupBy("host_key").agg(F.count("*").alias("host_docs"))
-    return on.join(hosts, F.col("host").eqNullSafe(F.col("host_key"))) \
-        .where(F.col("line_docs") > max_share * F.col("host_docs")).select("host", "line", "line_docs")
-
-
-def _hits(lined: DataFrame, max_docs: int, max_share: float) -> DataFrame:
+    own = lined.select("host", "fp", F.array_distinct("lines").alias("lines"))
+    words = F.aggregate("lines", F.lit(0).cast("long"), lambda total, x: total + x["n"])
+    texts = own.select("host", "fp", words.alias("n_all"), F.inline("lines")).distinct()
+    often = texts.groupBy(F.col("host").alias("limit_host"), F.col("line").alias("limit_line")).agg(F.count("*").alias("line_docs")) \
+        .where(F.col("line_docs") > max_docs).drop("line_docs")
+    found = stored(texts.join(often, _on_limit()).drop("limit_host", "limit_line"), "candidate-lines")
+    lost = found.groupBy(F.col("host").alias("of_host"), F.col("fp").alias("of_fp")).agg(
+        F.max("n_all").alias("n_all"), F.sum("n").alias("n_lost"), F.min("line").alias("least_line"))
+    alone = F.col("n_all") - F.col("n_lost") >= F.lit(min_left) * F.col("n_all")
+    classes = lost.select("of_host", "of_fp", alone.alias("alone"), F.when(alone, F.col("of_fp")).otherwise(F.col("least_line")).alias("class"))
+    counted = found.join(classes, F.col("host").eqNullSafe(F.col("of_host")) & (F.col("fp") == F.col("of_fp"))) \
+        .select("host", "line", "alone", "class").distinct()
+    return counted.groupBy(F.col("host").alias("limit_host"), F.col("line").alias("limit_line")).agg(F.count("*").alias("line_classes")) \
+        .where(F.col("line_classes") > max_docs).drop("line_classes")
+
+
+def _on_limit() -> Column:
+    return F.col("host").eqNullSafe(F.col("limit_host")) & (F.col("line") == F.col("limit_line"))
+
+
+def _hits(lined: DataFrame, max_docs: int, min_left: float) -> DataFrame:
     """hit_id, hit_host, hit_fp, removed: the frequent lines of each document that has any."""
     lines = lined.select("host", "doc_id", "fp", F.explode(F.array_distinct("lines.line")).alias("line"))
-    limits = frequent_lines(lined, max_docs, max_share).select(F.col("host").alias("limit_host"), F.col("line").alias("limit_line"))
-    found = lines.join(limits, F.col("host").eqNullSafe(F.col("limit_host")) & (F.col("line") == F.col("limit_line")))
+    found = lines.join(frequent_lines(lined, max_docs, min_left), _on_limit())
     return found.groupBy(F.col("doc_id").alias("hit_id"), F.col("host").alias("hit_host"), F.col("fp").alias("hit_fp")) \
         .agg(F.collect_set("line").alias("removed"))
 
 
-def verdicts(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
+def verdicts(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
     """One row per document: the counts of its own text, what the line limits take, and ``kept``.
 
     The texts are read once; what is known of them is written to the shared folder.
     """
     facts = stored(text_facts(docs), "text-facts")
     rows = facts.join(
-        _hits(facts, max_docs, max_share), F.col("doc_id").eqNullSafe(F.col("hit_id")) & F.col("host").eqNullSafe(F.col("hit_host"))
+        _hits(facts, max_docs, min_left), F.col("doc_id").eqNullSafe(F.col("hit_id")) & F.col("host").eqNullSafe(F.col("hit_host"))
         & (F.col("fp") == F.col("hit_fp")), "left")
     gone = F.when(F.col("removed").isNull(), F.array().cast("array<struct<line:bigint,n:int>>")) \
         .otherwise(F.filter("lines", lambda x: F.array_contains("removed", x["line"])))
@@ -126,13 +141,13 @@ def verdicts(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_S
     return rows.drop("hit_id", "hit_host", "hit_fp", "host", "fp", "lines", "removed", "gone")
 
 
-def clean(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
+def clean(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
     """The documents that pass, without their frequent lines; every column of ``docs`` stays, ``n_chars`` follows the text."""
     names = fresh(docs, "q_failed", "q_words", "q_fp", "q_lines", "hit_id", "hit_host", "hit_fp", "removed")
     failed, words, fp, lines, hit_id, hit_host, hit_fp, removed = names
     own = text_of(F.col("text"))
     lined = stored(docs.select("doc_id", F.col("source").alias("host"), F.xxhash64(own).alias("fp"), _lines(F.col("text")).alias("lines")), "lines")
-    hits = _hits(lined, max_docs, max_share).toDF(hit_id, hit_host, hit_fp, removed)
+    hits = _hits(lined, max_docs, min_left).toDF(hit_id, hit_host, hit_fp, removed)
     rows = docs.withColumns({fp: F.xxhash64(own)}).join(
         hits, F.col("doc_id").eqNullSafe(F.col(hit_id)) & F.col("source").eqNullSafe(F.col(hit_host))
         & (F.col(fp) == F.col(hit_fp)), "left")

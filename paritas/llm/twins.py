@@ -19,9 +19,15 @@ l AS (SELECT doc_id, host, text, raw, {_LINE.format('lower(raw)')} AS line, len(
       FROM (SELECT *, unnest(string_split(text, chr(10))) AS raw FROM d)),
 worded AS (SELECT * FROM l WHERE line <> ''),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT raw) AS n FROM worded GROUP BY 1),
-hosts AS (SELECT host, count(DISTINCT text) AS n FROM d GROUP BY 1),
-freq AS (SELECT f.host, line FROM (SELECT host, line, count(DISTINCT text) AS k FROM worded GROUP BY 1, 2) f JOIN hosts h ON f.host IS NOT DISTINCT FROM h.host
-         WHERE k > {quality_rules.MAX_DOCS} AND k > {quality_rules.MAX_SHARE} * h.n),
+t AS (SELECT DISTINCT host, text, line, n FROM worded),
+found AS (SELECT t.* FROM t JOIN (SELECT host, line FROM t GROUP BY 1, 2 HAVING count(*) > {quality_rules.MAX_DOCS}) c
+          ON t.host IS NOT DISTINCT FROM c.host AND t.line = c.line),
+own AS (SELECT host, text, sum(n) AS n FROM t GROUP BY 1, 2),
+lost AS (SELECT host, text, sum(n) AS n, min(CAST('0x' || md5(line)[1:15] AS BIGINT)) AS least FROM found GROUP BY 1, 2),
+cls AS (SELECT lost.host, lost.text, own.n - lost.n >= {quality_rules.MIN_LEFT} * own.n AS alone, CASE WHEN alone THEN lost.text ELSE CAST(least AS VARCHAR) END AS class
+        FROM lost JOIN own ON lost.host IS NOT DISTINCT FROM own.host AND lost.text = own.text),
+freq AS (SELECT found.host, line FROM found JOIN cls ON found.host IS NOT DISTINCT FROM cls.host AND found.text = cls.text
+         GROUP BY 1, 2 HAVING count(DISTINCT (alone, class)) > {quality_rules.MAX_DOCS}),
 gone AS (SELECT doc_id, count(*) AS lines, sum(n) AS words FROM worded w JOIN freq f ON w.host IS NOT DISTINCT FROM f.host AND w.line = f.line GROUP BY 1),
 f AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,

@@ -1,13 +1,17 @@
 """Quality rules, line dedup, exact dedup and chat formatting against plain versions in Python."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
-from paritas.llm import chat_format, exact_dedup, line_dedup, quality_rules
+from paritas.llm import chat_format, exact_dedup, line_dedup, near_dedup, quality_rules
 from paritas.llm.common import text_of
+from paritas.llm.twins import OP2
 
 WORDS = re.compile("[^\x20\x09-\x0d]+")
 
@@ -48,17 +52,64 @@ def test_frequent_lines_go_and_depleted_documents_fail(spark):
     docs = [(i, f"The common FOOTER  line\n{body(i)}", "h") for i in range(40)]
     docs += [(100, "the common footer line\n" * 3 + "only seven words are left over here", "h"), (101, f"the common footer line\n{body(101)}", "other")]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string")
-    rows = {r["doc_id"]: r for r in quality_rules.verdicts(df, max_docs=20, max_share=0.5).collect()}
+    rows = {r["doc_id"]: r for r in quality_rules.verdicts(df, max_docs=20).collect()}
     assert all(rows[i]["n_removed_lines"] == 1 and rows[i]["n_removed_words"] == 4 and rows[i]["kept"] for i in range(40))
     assert rows[100]["n_removed_words"] == 12 and not rows[100]["kept"] and rows[101]["n_removed_lines"] == 0
-    kept = {r["doc_id"]: r["text"] for r in quality_rules.clean(df, max_docs=20, max_share=0.5).collect()}
+    kept = {r["doc_id"]: r["text"] for r in quality_rules.clean(df, max_docs=20).collect()}
     assert kept[3] == body(3) and 100 not in kept and kept[101].startswith("the common footer")
 
 
 def test_exact_copies_do_not_make_a_line_frequent(spark):
     text = "\n".join(" ".join(f"l{j}w{k}" for k in range(8)) for j in range(4))
     df = spark.createDataFrame([(i, text, "h") for i in range(60)], "doc_id long, text string, source string")
-    assert quality_rules.clean(df, max_docs=20, max_share=0.03).count() == 60
+    assert quality_rules.clean(df, max_docs=20).count() == 60
+
+
+def worded(tag, i, j):
+    return " ".join(f"{tag}{i}l{j}w{k}" for k in range(8))
+
+
+def test_a_line_goes_whatever_the_size_of_its_host(spark):
+    docs = [(i, ("All rights reserved by nobody\n" if i < 290 else "") + "\n".join(worded("d", i, j) for j in range(2)), "h") for i in range(10_000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(4)
+    rows = quality_rules.verdicts(df).collect()
+    assert sum(r["n_removed_lines"] for r in rows) == 290 and all(r["kept"] for r in rows)
+
+
+def family(changed, members=40, others=960):
+    """Near copies of one base text with a few changed lines each, among other texts; a third of the others share a footer with them."""
+    lines = lambda m: [worded("own", m, j) if j in drawn[m] else worded("base", 0, j) for j in range(30)]
+    drawn = [random.Random(m).sample(range(30), changed) for m in range(members)]
+    docs = [(m, "\n".join(lines(m) + ["the footer of the host"]), "h") for m in range(members)]
+    footer = lambda i: ["the footer of the host"] if i % 3 == 0 else []
+    return docs + [(i, "\n".join([*(worded("d", i, j) for j in range(4)), *footer(i)]), "h") for i in range(1000, 1000 + others)]
+
+
+@pytest.mark.parametrize("changed", [1, 3, 6])
+def test_near_copies_do_not_make_their_lines_frequent(spark, changed):
+    docs = family(changed, members=300)
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(4)
+    kept = {r["doc_id"]: r["text"] for r in quality_rules.clean(df).collect()}
+    assert kept.keys() == {i for i, *_ in docs}
+    assert all(kept[i] == t.removesuffix("\nthe footer of the host") for i, t, _ in docs)
+
+
+def test_one_near_copy_survives_the_stages(spark):
+    df = spark.createDataFrame(family(1), "doc_id long, text string, source string").repartition(4)
+    left = near_dedup.keep_one(line_dedup.dedup_lines(quality_rules.clean(df)))
+    ids = [r["doc_id"] for r in left.select("doc_id").collect()]
+    assert sum(i < 1000 for i in ids) >= 1 and sum(i >= 1000 for i in ids) == 960
+
+
+def test_line_limits_against_sql(spark):
+    docs = family(6, members=60) + [(2000 + i, "the footer of the host\n" * 3 + f"{worded('x', i % 25, 0)}", None if i % 2 else "h") for i in range(80)]
+    docs += [(3000 + m, "\n".join(worded("page", 0, j) for j in range(10) if j != m % 10), None) for m in range(70)] + [(4000, None, "h")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    want = con.sql(OP2).df().set_index("doc_id")[["n_removed_lines", "n_removed_words", "kept"]].sort_index()
+    found = quality_rules.verdicts(df).toPandas().set_index("doc_id")[["n_removed_lines", "n_removed_words", "kept"]].sort_index()
+    assert want.values.tolist() == found.values.tolist() and 0 < want["n_removed_lines"].gt(0).sum() < len(docs)
 
 
 def plain_line_dedup(rows):
