@@ -237,14 +237,14 @@ def _compared(percent: int):
     return run
 
 
-def _exact_links(shared: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> DataFrame | None:
-    """Links between the components of ``links`` from all pairs in the ``shared`` buckets; None where no set can have one.
+def _exact_links(shared: DataFrame, sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame | None:
+    """Links between the components ``comps`` from all pairs in the ``shared`` buckets; None where no set can have one.
 
     Sets whose buckets are connected form a cluster, its largest component apart from the others. Clusters are cut into
     blocks of about ``CELL`` shingles; a cell compares two blocks, of which at most one is of the largest component.
     """
     kind = sets.schema["node"].dataType.simpleString()
-    labelled = shared.join(components(links), F.col("class_id") == F.col("node"), "left").select("class_id", "key", F.coalesce("component", "class_id").alias("part"))
+    labelled = shared.join(comps, F.col("class_id") == F.col("node"), "left").select("class_id", "key", F.coalesce("component", "class_id").alias("part"))
     several = lambda rows: rows.groupBy(F.col("key").alias("hub_key")).agg(F.min("class_id").alias("lo"), F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
     open_rows = stored(labelled.join(several(labelled).select("hub_key"), F.col("key") == F.col("hub_key")).drop("hub_key"), "open")
     parts = open_rows.select(F.col("class_id").alias("wanted"), "part").distinct()
@@ -293,6 +293,14 @@ def _offers(shared: DataFrame, comps: DataFrame, turn: int) -> DataFrame:
     return offered.select(F.greatest("from_id", "id").alias("u"), F.least("from_id", "id").alias("v")).distinct()
 
 
+def _grown(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after ``links(u, v)``; the stars of ``comps`` stand for the links before, and their table is dropped."""
+    stars = comps.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    grown = components(stars.unionAll(links.select("u", "v")))
+    dropped(comps)
+    return grown
+
+
 def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: int = BINS, rows: int = ROWS,
                 rounds: int = 3) -> DataFrame:
     """doc_id, fp, n_shingles, component_id for every row of ``docs`` (fp tells apart texts under one id)."""
@@ -315,14 +323,12 @@ def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bin
     while found or turn < rounds:
         offered = stored(_offers(shared, comps, turn).join(tested, ["u", "v"], "left_anti"), "offered")
         new = stored(_confirmed(sets, offered, percent), "links")
-        found, turn = new.count(), turn + 1
-        links, tested = links.unionAll(new), tested.unionAll(offered)
-        if found:  # the stars of the last round stand for its links
-            last, comps = comps, components(comps.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(new))
-            dropped(last)
-    exact = _exact_links(shared, sets, links, percent)
-    links = links if exact is None else links.unionAll(exact)
-    comps = components(links)
+        found, turn, tested = new.count(), turn + 1, tested.unionAll(offered)
+        if found:
+            comps = _grown(comps, new)
+    exact = _exact_links(shared, sets, comps, percent)
+    if exact is not None and not exact.isEmpty():
+        comps = _grown(comps, exact)
     return members.join(comps, F.col("class_id") == F.col("node"), "left").select(
         "doc_id", "fp", "n_shingles", F.coalesce("component", "class_id", "doc_id").alias("component_id"))
 
