@@ -19,6 +19,19 @@ def steady_square(c: Column | str) -> Column:
     return F.when(F.abs(c) < 1e6, F.round(c, 4)).otherwise(F.round(c, -4))
 
 
+def printed(c: Column, decimals: int) -> Column:
+    """A double as a decimal the way the twins cast it: scaled as a double, and the exact digits of that product.
+
+    The halves of the product above and below 2**40 are whole numbers of their own, so no digit is lost between them.
+    """
+    scaled = F.rint(c * F.lit(float(10**decimals)))
+    high = F.floor(scaled / F.lit(float(1 << 40)))
+    low = scaled - high.cast("double") * F.lit(float(1 << 40))
+    whole = high.cast("decimal(20,0)") * F.lit(1 << 40).cast("decimal(13,0)") + low.cast("decimal(13,0)")
+    exact = (whole * F.lit(f"1e-{decimals}").cast(f"decimal({decimals},{decimals})")).cast(f"decimal(38,{decimals})")
+    return F.when(F.abs(scaled) < 1e30, exact).otherwise(c.cast(f"decimal(38,{decimals})"))
+
+
 def big(*names: str) -> list[Column]:
     return [F.col(n).cast("bigint").alias(n) for n in names]
 
