@@ -42,6 +42,11 @@ def all_days_differ(tmp_path_factory):
     return written(tmp_path_factory.mktemp("differ"), [row for d in range(30) for row in ((defect(d), d), (100_002 + 101 * 211 * d, d))])
 
 
+@pytest.mark.parametrize("name", ["column_status_counts", "run_hashes"])
+def test_nothing_in_scope(spark, all_days_differ, name):
+    assert parity.difference(spark, parity.connect(all_days_differ), name, QUERIES[name], TWINS[name], all_days_differ) is None
+
+
 def test_no_vintage_is_reported_where_nothing_is_in_scope(spark, all_days_differ):
     assert parity.connect(all_days_differ).execute(TWINS["hash_check"]).fetchall() == []
     assert QUERIES["hash_check"](spark, all_days_differ).collect() == []
