@@ -154,7 +154,9 @@ def run_meta(spark, sf):
 def run_columns(spark, sf):
     run, makers, outcome = _run(spark, sf, "column_check")
     rows = run.results("column_check", makers).groupBy("table_name").agg(F.count_if("is_mismatched").alias("mismatched"))
-    return outcome.select("table_name", "status").join(rows, "table_name", "left")
+    # a table whose check ran but compared no column has none that differs
+    mismatched = F.when(F.col("status") != "FAILED", F.coalesce("mismatched", F.lit(0))).alias("mismatched")
+    return outcome.select("table_name", "status").join(rows, "table_name", "left").select("table_name", "status", mismatched)
 
 
 @query("run_hashes", "SELECT 'orders' AS table_name, 'DONE' AS status, CAST(sum(matched) AS BIGINT) AS matched FROM c_p3c "
