@@ -42,7 +42,7 @@ def all_days_differ(tmp_path_factory):
     return written(tmp_path_factory.mktemp("differ"), [row for d in range(30) for row in ((defect(d), d), (100_002 + 101 * 211 * d, d))])
 
 
-@pytest.mark.parametrize("name", ["column_status_counts", "hash_summary", "meta_details", "run_columns", "run_hashes"])
+@pytest.mark.parametrize("name", ["column_status_counts", "hash_summary", "meta_details", "run_columns", "run_hashes", "table_fingerprint"])
 def test_nothing_in_scope(spark, all_days_differ, name):
     assert parity.difference(spark, parity.connect(all_days_differ), name, QUERIES[name], TWINS[name], all_days_differ) is None
 
