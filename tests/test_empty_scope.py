@@ -5,6 +5,7 @@ import parity
 import pytest
 from pyspark.sql import functions as F
 
+from paritas.operators import rowhash
 from paritas.sources.local import local_rows
 from paritas.workload.catalogue import QUERIES, TWINS
 from paritas.workload.shape import printed
@@ -42,7 +43,7 @@ def all_days_differ(tmp_path_factory):
     return written(tmp_path_factory.mktemp("differ"), [row for d in range(30) for row in ((defect(d), d), (100_002 + 101 * 211 * d, d))])
 
 
-@pytest.mark.parametrize("name", ["column_status_counts", "hash_summary", "meta_details", "run_columns", "run_hashes", "table_fingerprint"])
+@pytest.mark.parametrize("name", ["column_status_counts", "hash_summary", "hash_table_status", "meta_details", "run_columns", "run_hashes", "table_fingerprint"])
 def test_nothing_in_scope(spark, all_days_differ, name):
     assert parity.difference(spark, parity.connect(all_days_differ), name, QUERIES[name], TWINS[name], all_days_differ) is None
 
@@ -50,3 +51,9 @@ def test_nothing_in_scope(spark, all_days_differ, name):
 def test_no_vintage_is_reported_where_nothing_is_in_scope(spark, all_days_differ):
     assert parity.connect(all_days_differ).execute(TWINS["hash_check"]).fetchall() == []
     assert QUERIES["hash_check"](spark, all_days_differ).collect() == []
+
+
+def test_a_table_with_rows_on_one_side_fails(spark):
+    prints = lambda left, right: local_rows(spark, [(left, right, left == right)], "left_rows bigint, right_rows bigint, is_match boolean")
+    none = prints(0, 0).where("false")
+    assert [tuple(rowhash.table_status(prints(*n), none, none).first())[::5] for n in ((3, 0), (0, 0), (2, 2))] == [(False, "FAIL"), (None, "PARTIAL"), (True, "PASS")]
