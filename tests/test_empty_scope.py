@@ -57,3 +57,10 @@ def test_a_table_with_rows_on_one_side_fails(spark):
     prints = lambda left, right: local_rows(spark, [(left, right, left == right)], "left_rows bigint, right_rows bigint, is_match boolean")
     none = prints(0, 0).where("false")
     assert [tuple(rowhash.table_status(prints(*n), none, none).first())[::5] for n in ((3, 0), (0, 0), (2, 2))] == [(False, "FAIL"), (None, "PARTIAL"), (True, "PASS")]
+
+
+def test_every_differing_key_is_listed(spark, tmp_path):
+    """10,060 orders, all on the 1st of January and all dearer by half on the right."""
+    sf = written(tmp_path, [(53 * i, 0) for i in range(1, 10_061)])
+    assert QUERIES["mismatch_cap"](spark, sf).count() > 10_000
+    assert parity.difference(spark, parity.connect(sf), "mismatch_cap", QUERIES["mismatch_cap"], TWINS["mismatch_cap"], sf) is None
