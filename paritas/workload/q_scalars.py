@@ -281,19 +281,30 @@ PARTS["c_pairs_e"] = """
 SELECT l.event_id, l.value AS lv, r.value AS rv FROM c_el l JOIN c_er r ON l.event_id = r.event_id"""
 
 
-def _order_values(spark, sf):
+#: So many rows a side and task are joined at once where a join is bounded.
+JOINED_ROWS = 200_000
+
+
+def _joined(left, right, key, bounded):
+    """An inner join; ``bounded`` deals both sides into parts of about ``JOINED_ROWS`` rows by key, whatever their size."""
+    if not bounded:
+        return left.join(right, key)
+    parts = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), left.count() // JOINED_ROWS)
+    return left.repartition(parts, key).join(right.repartition(parts, key).hint("merge"), key)
+
+
+def _order_values(spark, sf, bounded=False):
     l, r = pairs.orders_left(spark, sf), pairs.orders_right(spark, sf)
     left = l.select(F.col("ORDER_ID").alias("order_id"), F.col("STATUS").alias("ls"), F.col("PRICE").alias("lp"),
                     F.col("PRIORITY").alias("lq"), F.col("ORDER_DT").cast("string").alias("ld"))
     right = r.select("order_id", F.col("status").alias("rs"), F.col("price").alias("rp"), F.col("priority").alias("rq"),
                      F.when(F.col("order_id") % 31 == 0, F.concat(F.lit("x"), "order_dt")).otherwise(F.col("order_dt")).alias("rd"))
-    return left.join(right, "order_id")
+    return _joined(left, right, "order_id", bounded)
 
 
-def _event_values(spark, sf):
+def _event_values(spark, sf, bounded=False):
     l, r = pairs.events_left(spark, sf), pairs.events_right(spark, sf)
-    return l.select(F.col("EVENT_ID").alias("event_id"), F.col("VALUE").alias("lv")).join(
-        r.select("event_id", F.col("value").alias("rv")), "event_id")
+    return _joined(l.select(F.col("EVENT_ID").alias("event_id"), F.col("VALUE").alias("lv")), r.select("event_id", F.col("value").alias("rv")), "event_id", bounded)
 
 
 @query("cmp_exact", """
@@ -333,10 +344,11 @@ UNION ALL SELECT 'v' || event_id, CAST(lv AS VARCHAR), CAST(rv AS VARCHAR) FROM
 
 
 def _typed_pairs(spark, sf):
-    o, e = _order_values(spark, sf), _event_values(spark, sf)
-    one = lambda df, mark, key, a, b: df.select(F.concat(F.lit(mark), key).alias("id"), F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b"))
-    return (one(o, "d", "order_id", "ld", "rd").unionByName(one(o, "p", "order_id", "lp", "rp"))
-            .unionByName(one(o, "s", "order_id", "ls", "rs")).unionByName(one(e, "v", "event_id", "lv", "rv")))
+    """Values of both sides as text. Each two tables are joined once, in parts whose number grows with the rows, so a task sorts no more of a larger table."""
+    o, e = _order_values(spark, sf, bounded=True), _event_values(spark, sf, bounded=True)
+    one = lambda mark, key, a, b: F.struct(F.concat(F.lit(mark), key).alias("id"), F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b"))
+    kinds = F.array(one("d", "order_id", "ld", "rd"), one("p", "order_id", "lp", "rp"), one("s", "order_id", "ls", "rs"))
+    return o.select(F.inline(kinds)).unionByName(e.select(F.inline(F.array(one("v", "event_id", "lv", "rv")))))
 
 
 @query("cmp_flexible", f"SELECT id, {flexible('a', 'b')} AS ok FROM c_typed_pairs")

@@ -16,3 +16,12 @@ def test_rows_of_one_split_are_dealt_over_the_cores(spark, tmp_path):
     cores = spark.sparkContext.defaultParallelism
     assert splits(dealt) == min(cores, 3) and splits(left) == 1
     assert dealt.distinct().count() == 250_000 == dealt.count()
+
+
+def test_a_bounded_join_has_more_parts_for_more_rows(spark, monkeypatch):
+    monkeypatch.setattr(q_scalars, "JOINED_ROWS", 20)
+    keys = spark.range(2_000)
+    joined = q_scalars._joined(keys.withColumn("l", F.col("id") * 2), keys.withColumn("r", F.col("id") * 3), "id", True)
+    rows = joined.withColumn("part", F.spark_partition_id()).collect()
+    assert {(r.id, r.l, r.r) for r in rows} == {(i, 2 * i, 3 * i) for i in range(2_000)} and len(rows) == 2_000
+    assert len({r.part for r in rows}) > 90
