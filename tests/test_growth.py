@@ -25,3 +25,11 @@ def test_a_bounded_join_has_more_parts_for_more_rows(spark, monkeypatch):
     rows = joined.withColumn("part", F.spark_partition_id()).collect()
     assert {(r.id, r.l, r.r) for r in rows} == {(i, 2 * i, 3 * i) for i in range(2_000)} and len(rows) == 2_000
     assert len({r.part for r in rows}) > 90
+
+
+def test_parts_of_nested_values_are_normalised_once(spark):
+    df = spark.sql("SELECT array(' a ', 'n/a', NULL, 'x\ty  z') AS a, map('k', ' v ', 'J', NULL) AS m")
+    for name, steps, text in (("a", 1, "[1:A,~,~,4:XY Z]"), ("m", 2, "{1:J=~,1:K=1:V}")):
+        found = df.select(normalize.norm_nested(F.col(name), df.schema[name].dataType).alias("t"))
+        assert found.first().t == text
+        assert found._jdf.queryExecution().analyzed().toString().count("upper(") == steps
