@@ -33,3 +33,15 @@ def test_parts_of_nested_values_are_normalised_once(spark):
         found = df.select(normalize.norm_nested(F.col(name), df.schema[name].dataType).alias("t"))
         assert found.first().t == text
         assert found._jdf.queryExecution().analyzed().toString().count("upper(") == steps
+
+
+def test_differing_rows_are_aggregated_without_sorting(spark):
+    side = lambda shift: spark.range(50).select(
+        F.lit("v").alias("vintage"), F.col("id").alias("k"), F.upper(F.sha2((F.col("id") + F.when(F.col("id") == 7, shift).otherwise(0)).cast("string"), 256)).alias("hash_value"),
+        F.array(F.xxhash64("id"), F.xxhash64(F.col("id") + F.when(F.col("id") == 7, shift).otherwise(0))).alias("cells"))
+    left, right = side(0), side(100)
+    found = digest_tree.surplus(left, right, ["k"], ["a", "b"], ["vintage"])
+    row, = found.collect()
+    assert (row.k, row.n_left, row.n_right, row.changed) == (7, 1, 1, ["b"])
+    assert [row.left_hash, row.right_hash] == [df.where("k = 7").first().hash_value for df in (left, right)]
+    assert "first(cells" not in found._jdf.queryExecution().analyzed().toString()
