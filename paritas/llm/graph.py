@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paritas.llm.common import dropped, stored
+from paritas.sources.results import shuffles_removed
 
 
 def _hooked(pairs: DataFrame, keep_own: bool) -> DataFrame:
@@ -26,7 +27,8 @@ def _hooked(pairs: DataFrame, keep_own: bool) -> DataFrame:
 
 
 def _state(pairs: DataFrame) -> tuple:
-    return tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+    with shuffles_removed(pairs.sparkSession):
+        return tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
 
 
 def components(edges: DataFrame) -> DataFrame:

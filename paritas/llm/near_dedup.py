@@ -179,10 +179,11 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     nodes = stored(nodes.distinct(), "nodes")
-    if nodes.count() <= BROADCAST_NODES:
-        nodes = F.broadcast(nodes)
-    rows = docs.select(F.col("doc_id").alias("node"), text_of(F.col("text")).alias("text")).join(nodes, F.col("node") == F.col("wanted"))
-    return stored(rows.select("node", "text").mapInArrow(_sets(width), f"node {kind}, n bigint, shingles array<bigint>"), "sets")
+    wanted = F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes
+    rows = docs.select(F.col("doc_id").alias("node"), text_of(F.col("text")).alias("text")).join(wanted, F.col("node") == F.col("wanted"))
+    sets = stored(rows.select("node", "text").mapInArrow(_sets(width), f"node {kind}, n bigint, shingles array<bigint>"), "sets")
+    dropped(nodes)
+    return sets
 
 
 def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -242,16 +243,23 @@ def _exact_links(shared: DataFrame, sets: DataFrame, comps: DataFrame, percent:
 
     Sets whose buckets are connected form a cluster, its largest component apart from the others. Clusters are cut into
     blocks of about ``CELL`` shingles; a cell compares two blocks, of which at most one is of the largest component.
+    ``shared`` and ``sets`` are dropped.
     """
     kind = sets.schema["node"].dataType.simpleString()
     labelled = shared.join(comps, F.col("class_id") == F.col("node"), "left").select("class_id", "key", F.coalesce("component", "class_id").alias("part"))
     several = lambda rows: rows.groupBy(F.col("key").alias("hub_key")).agg(F.min("class_id").alias("lo"), F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
     open_rows = stored(labelled.join(several(labelled).select("hub_key"), F.col("key") == F.col("hub_key")).drop("hub_key"), "open")
     parts = open_rows.select(F.col("class_id").alias("wanted"), "part").distinct()
-    left = sets.join(parts, F.col("node") == F.col("wanted")).drop("wanted")
+    left = stored(sets.join(parts, F.col("node") == F.col("wanted")).drop("wanted"), "open-sets")
+    dropped(shared)
+    dropped(sets)
     for one_in in SAMPLED:
-        left = stored(_may_link(left, percent, one_in), "may-link")
+        last, left = left, stored(_may_link(left, percent, one_in), "may-link")
+        dropped(last)
+    used_up = (open_rows, left)
     if left.isEmpty():
+        for table in used_up:
+            dropped(table)
         return None
     open_rows = open_rows.join(left.select("node"), F.col("class_id") == F.col("node"), "left_semi")
     edges = open_rows.join(several(open_rows).select("hub_key", "lo"), F.col("key") == F.col("hub_key")).select(F.col("class_id").alias("u"), F.col("lo").alias("v"))
@@ -270,7 +278,10 @@ def _exact_links(shared: DataFrame, sets: DataFrame, comps: DataFrame, percent:
                        F.transform(up_to("n_main"), lambda k: cell(own, k, True, yes, ~yes)))
     cells = left.select("node", "n", "shingles", "part", "cluster", F.explode(F.when(F.col("is_main"), of_main).otherwise(of_rest)).alias("cell")) \
         .select("node", "n", "shingles", "part", "cluster", "cell.*")
-    return stored(cells.groupBy("cluster", "i", "j", "with_main").applyInPandas(_compared(percent), f"u {kind}, v {kind}"), "links")
+    links = stored(cells.groupBy("cluster", "i", "j", "with_main").applyInPandas(_compared(percent), f"u {kind}, v {kind}"), "links")
+    for table in used_up:
+        dropped(table)
+    return links
 
 
 def _offers(shared: DataFrame, comps: DataFrame, turn: int) -> DataFrame:
@@ -313,6 +324,7 @@ def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bin
     classes = banded.where("n_shingles > 0").groupBy(*[F.col(c).alias(f"of_{c}") for c in same_set]).agg(F.min("doc_id").alias("class_id"))
     on = [F.col(c) == F.col(f"of_{c}") for c in same_set]
     members = stored(banded.join(classes, on, "left").drop(*[f"of_{c}" for c in same_set]), "members")
+    dropped(banded)
     buckets = members.where("doc_id = class_id").select("class_id", F.explode("keys").alias("key"))
     hubs = buckets.groupBy(F.col("key").alias("hub_key")).agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).where("lo < hi")
     shared = stored(buckets.join(hubs, F.col("key") == F.col("hub_key")).drop("hub_key"), "buckets")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from paritas.llm import language_id, lm_scoring, mixing, near_dedup, packing, token_counts
 from paritas.llm.common import crc_bucket
+from paritas.sources import results
 from paritas.llm.tokens import ByteEncoder
 
 WORDS = re.compile("[^\x20\x09-\x0d]+")
@@ -359,6 +360,14 @@ def test_near_groups_of_a_large_family(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(df, width=4).collect()} == want
 
 
+def test_near_groups_leave_little_behind(odd, monkeypatch, tmp_path):
+    """Full sets, buckets and bands go when they are used up."""
+    monkeypatch.setattr(results, "shared_dir", lambda spark: str(tmp_path))
+    near_dedup.near_groups(odd)
+    left = [x.name for x in tmp_path.iterdir()]
+    assert any(x.startswith("members-") for x in left) and not [x for x in left if x.startswith(("bands-", "nodes-", "buckets-", "sets-", "open-", "may-link-"))]
+
+
 def test_near_odd_rows(odd, nothing):
     rows = near_dedup.near_groups(odd).collect()
     by_id = defaultdict(set)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from paritas.functions import normalize
 from paritas.operators import digest_tree
 from paritas.sources import scan
+from paritas.sources.results import SHUFFLE_CLEANUP, stored
 from paritas.workload import q_scalars
 
 
@@ -45,3 +46,17 @@ def test_differing_rows_are_aggregated_without_sorting(spark):
     assert (row.k, row.n_left, row.n_right, row.changed) == (7, 1, 1, ["b"])
     assert [row.left_hash, row.right_hash] == [df.where("k = 7").first().hash_value for df in (left, right)]
     assert "first(cells" not in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_what_is_exchanged_for_a_stored_table_goes_with_the_write(spark, tmp_path):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffle_files():
+        files = disk.getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    before = shuffle_files()
+    rows = spark.range(100_000).groupBy((F.col("id") % 1000).alias("k")).agg(F.sum("id").alias("total"))
+    found = stored(rows, "rows", str(tmp_path))
+    assert not shuffle_files() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false" and found.count() == rows.count() == 1000
