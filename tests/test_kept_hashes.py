@@ -68,6 +68,24 @@ def test_the_kept_side_is_not_exchanged(spark, tmp_path):
     assert any("FullOuter" in line for line in above) and not any("Exchange" in line for line in above)
 
 
+def test_rows_move_once_for_the_buckets(spark, tmp_path, monkeypatch):
+    """The right side goes straight to the buckets of the kept one; only keys that share a full bin are counted for being hot."""
+    rows = [("x", i, None, f"{i:064X}") for i in range(3000)] + [("x", 7, None, f"{i:064X}") for i in range(5000, 5100)]
+    left = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(kept_hashes, "ROWS_A_BUCKET", 300)
+    kept = kept_hashes.keep(left, str(tmp_path / "kept"), ["k"], ["vintage"], buckets=4, many=50)
+    assert kept.buckets == 11 and kept.hot().count() == 101  # 3,100 rows in parts of 300
+    assert kept_hashes._hot_ids(kept_hashes._counted(left, ["k"], ["vintage"]), 50, 3100).count() == 1
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = kept_hashes.compare(kept, left.where("k <> 7"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    met = plan[plan.index("FullOuter"):]
+    assert met[:met.index("REPARTITION_BY_NUM")].count("Exchange") == 1
+
+
 def test_hashes_are_kept_until_the_left_side_changes(spark, tmp_path):
     table = lambda rows: spark.createDataFrame(rows, "ID long, V string").coalesce(1)
     rows = [(i, f"v{i}") for i in range(50)]
