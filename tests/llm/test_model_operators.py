@@ -73,6 +73,37 @@ def test_urn_sums_are_sequential_predictions():
     assert total == pytest.approx(sum(lm_scoring.urn_sum(p[w], k, b) for w, k in seen.items()) - lm_scoring.urn_sum(1.0, len(order), b))
 
 
+def test_a_text_scores_by_the_order_of_its_words(spark):
+    """Words are predicted after the words before them: the same words in another order score otherwise, and lower."""
+    rng = random.Random(5)
+    follow = {w: rng.sample(range(40), 2) for w in range(40)}
+    chain = [rng.randrange(40)]
+    for _ in range(60 * 300):
+        chain.append(rng.choice(follow[chain[-1]]))
+    texts = [" ".join(f"w{x}" for x in chain[i:i + 60]) for i in range(0, len(chain) - 60, 60)]
+    mixed = [" ".join(rng.sample(t.split(), 60)) for t in texts[:40]]
+    rows = [(i, t, i >= 40) for i, t in enumerate(texts)] + [(1000 + i, t, False) for i, t in enumerate(mixed)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, learns boolean")
+    got = {r["doc_id"]: r for r in lm_scoring.score(df, "learns").collect()}
+    assert all(got[i]["base_score"] == pytest.approx(got[1000 + i]["base_score"]) for i in range(40))
+    assert all(got[i]["score"] > got[1000 + i]["score"] + 5 for i in range(40))
+
+
+def test_word_code_is_complete():
+    """All words after a context together have probability 1, whatever the tables hold."""
+    counts = [900, 400, 300, 70, 70, 3, 2, 2, 1, 0]
+    code = lm_scoring.word_code(counts)
+    assert sum(2.0 ** -int(n) for n in code[0]) == pytest.approx(1.0)
+    rng = np.random.default_rng(1)
+    tables = [rng.integers(0, 1 << 16, 1 << b).astype(np.uint16) for b in (12, 13)]
+    p = [math.exp(lm_scoring.ln_p(np.array([1, 3, s]), np.array([0, 3]), code, tables, lm_scoring.first_word_weights())[-1]) for s in range(len(counts))]
+    assert sum(p) == pytest.approx(1.0, rel=1e-4)
+
+
+def test_places_count_earlier_ones():
+    assert lm_scoring.earlier(np.array([4, 2, 4, 4, 2, 9])).tolist() == [0, 0, 1, 2, 1, 0]
+
+
 # ---------------------------------------------------------------- mixing
 
 
