@@ -556,7 +556,7 @@ def _summed(model):
                 take = pa.array(begin + np.concatenate([texts, np.array([t for t, _ in rest], np.int64)]))
                 listed = pa.StructArray.from_arrays([pa.array((places - offsets[of_text[places]]).astype(np.int32)), pa.array(p[places])], names=["place", "escape"])
                 ends = np.concatenate([np.zeros(len(texts) + 1, np.int64), np.cumsum(n[len(texts):])]).astype(np.int32)
-                sums = (sizes, np.array(n_bytes), np.bincount(of_hit, minlength=len(texts)), np.bincount(of_hit, base_of[own], len(texts)), *urns)
+                sums = (sizes, np.array(n_bytes), np.bincount(of_hit, minlength=len(texts)), np.bincount(of_hit, base_of[own], len(texts)).astype(np.float64), *urns)
                 yield pa.RecordBatch.from_arrays([
                     ids.take(take), fps.take(take), _texts([b"%s%x" % (OWN, x & 0xFFFFFFFFFFFFFFFF) for x in prints] + [w for _, w in rest]),
                     pa.array(n), pa.ListArray.from_arrays(pa.array(ends), listed), *(pa.concat_arrays([pa.array(x), pa.nulls(len(rest), pa.array(x).type)]) for x in sums),
