@@ -47,7 +47,7 @@ TABLE_BITS = (17, 20, 21, 22, 22)
 SLOTS = sum(1 << b for b in TABLE_BITS)
 CHUNK = 1 << 17
 GATES, INPUTS, CELLS = 64, len(TABLE_BITS) + 1, 33
-WORDS_AT_ONCE, FLUSH, MERGERS = 8_000, 400_000, 16
+WORDS_AT_ONCE, FLUSH, MERGERS = 2_000, 400_000, 16
 STRENGTHS = (30.0, 120.0, 500.0, 2000.0)
 #: Words with a code of their own; log2 of the most slots of the tables for one and two words before.
 TREE, MOST_BITS = 32_768, (22, 23)
@@ -64,7 +64,9 @@ def packed_counts(n: np.ndarray) -> np.ndarray:
     return np.minimum(np.rint(8.0 * np.log2(1.0 + n)), 255.0).astype(np.uint8)
 
 
-ONE_LESS = packed_counts(np.maximum(COUNT_OF - 1.0, 0.0)).astype(np.uint16)
+_LESS, _STATE = packed_counts(np.maximum(COUNT_OF - 1.0, 0.0)).astype(np.uint16), np.arange(1 << 16, dtype=np.uint16)
+#: A state with one zero less, for every state; then with one one less.
+ONE_LESS = np.concatenate([(_STATE & 0xFF) | _LESS[_STATE >> 8] << 8, (_STATE & 0xFF00) | _LESS[_STATE & 0xFF]])
 
 
 def byte_code(frequencies: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -170,22 +172,20 @@ def _byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _tables(code):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """word, c -> for each chunk of the joint table that was touched: slots, zeros and ones seen there."""
-        zeros, ones = np.zeros(SLOTS, np.float32), np.zeros(SLOTS, np.float32)
+        seen = np.zeros((SLOTS, 2), np.float32)
         for batch in batches:
             for words, counts in _batches(batch):
                 word, bit, slots = bits_of(words, code)
                 weight = counts[word].astype(np.float32)
-                is_one = bit == 1
                 for slot in slots:
-                    np.add.at(ones, slot[is_one], weight[is_one])
-                    np.add.at(zeros, slot[~is_one], weight[~is_one])
+                    np.add.at(seen.reshape(-1), 2 * slot + bit, weight)
         for chunk in range(-(-SLOTS // CHUNK)):
-            part = slice(chunk * CHUNK, min(SLOTS, (chunk + 1) * CHUNK))
-            used = np.flatnonzero(zeros[part] + ones[part]).astype(np.int32)
+            part = seen[chunk * CHUNK:(chunk + 1) * CHUNK]
+            used = np.flatnonzero(part[:, 0] + part[:, 1]).astype(np.int32)
             if len(used):
                 yield pa.RecordBatch.from_arrays([
                     pa.array([chunk]), pa.array([used.tobytes()], pa.binary()),
-                    pa.array([zeros[part][used].tobytes()], pa.binary()), pa.array([ones[part][used].tobytes()], pa.binary()),
+                    pa.array([part[used, 0].tobytes()], pa.binary()), pa.array([part[used, 1].tobytes()], pa.binary()),
                 ], names=["chunk", "used", "zeros", "ones"])
     return run
 
@@ -208,9 +208,13 @@ def _merged(key, pdf):
 
 def predicted(states: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(inputs, gate, mixture in the logistic domain) of bits with the given states."""
-    inputs = np.stack([*(STRETCHED[s] for s in states), np.full(len(states[0]), 0.3, np.float32)])
-    gate = CONFIDENCE[states[4]] * 16 + CONFIDENCE[states[3]] * 4 + CONFIDENCE[states[2]]
-    return inputs, gate, np.clip(np.einsum("kb,bk->b", inputs, weights[gate]), -11.0, 11.0)
+    states = [s.astype(np.intp) for s in states]
+    inputs = np.stack([*(STRETCHED.take(s, mode="clip") for s in states), np.full(len(states[0]), 0.3, np.float32)])
+    gate = CONFIDENCE.take(states[4], mode="clip") * 16 + CONFIDENCE.take(states[3], mode="clip") * 4 + CONFIDENCE.take(states[2], mode="clip")
+    mixed = weights[:, 0].take(gate, mode="clip") * inputs[0]
+    for k in range(1, INPUTS):
+        mixed += weights[:, k].take(gate, mode="clip") * inputs[k]
+    return inputs, gate, np.clip(mixed, -11.0, 11.0, out=mixed)
 
 
 def _cell(mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -244,14 +248,14 @@ def _learned(model, code):
                 for part in range(0, len(bits), 65_536):
                     cut, turn = slice(part, part + 65_536), turn + 1
                     bit, seen, states = bits[cut], weight[cut], [x[cut] for x in found]
-                    less = [np.where(bit == 1, (x & 0xFF00) | ONE_LESS[x & 0xFF], (x & 0xFF) | ONE_LESS[x >> 8] << 8) for x in states]
+                    less = [ONE_LESS.take(x + (bit << 16), mode="clip") for x in states]
                     for given, (weights, mass, hits, tries) in zip((states, less), mixers, strict=True):
                         inputs, gate, mixed = predicted(given, weights)
                         low, share = _cell(mixed)
                         for cell, w in ((low, 1.0 - share), (low + 1, share)):
-                            flat = gate * CELLS + cell
-                            tries += np.bincount(flat, seen * w, GATES * CELLS).reshape(GATES, CELLS)
-                            hits += np.bincount(flat, seen * w * bit, GATES * CELLS).reshape(GATES, CELLS)
+                            zeros, ones = np.bincount((gate * CELLS + cell) * 2 + bit, seen * w, GATES * CELLS * 2).reshape(GATES, CELLS, 2).transpose(2, 0, 1)
+                            tries += zeros + ones
+                            hits += ones
                         error = (bit - 1.0 / (1.0 + np.exp(-mixed))) * seen
                         here = np.bincount(gate, seen, GATES)
                         slope = np.stack([np.bincount(gate, error * x, GATES) for x in inputs], axis=1)
@@ -436,7 +440,7 @@ def _read(tree, bits: tuple[int, int]):
                     _, node, bit, slots = turns_of(symbols[cut], [c[cut] for c in contexts], code, bits)
                     inputs, gates = [code[3].take(node, mode="clip")], []
                     for table, slot in zip(tables, slots, strict=True):
-                        zeros, ones = table.take(slot, axis=0, mode="clip").T.astype(np.float32)
+                        zeros, ones = table.view(np.int64).ravel().take(slot, mode="clip").view(np.int32).reshape(-1, 2).T.astype(np.float32)
                         both = zeros + ones
                         gates.append((both > 0).view(np.int8) + (both > 2) + (both > 16))
                         inputs.append(np.clip(np.log((ones + np.float32(0.05)) / (zeros + np.float32(0.05))), -8.0, 8.0))
